@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, simhash, warc
+from . import decontam, langid, packing, simhash, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "first_word", "n_words", F.col("first_id").alias("first_doc_id"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits().alias("fingerprint"), F.col("component").alias("component_id"))
@@ -40,6 +45,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring": op3_substring,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,

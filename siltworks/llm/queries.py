@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, simhash, substring, warc
+from . import decontam, langid, packing, secrets, simhash, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.findings_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = secrets.as_text(F.col("found"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.repeats(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "first_word", "n_words", F.col("first_id").alias("first_doc_id"))
@@ -45,6 +51,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op3_substring": op3_substring,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
@@ -53,4 +60,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_secrets": secrets.SQL,
+}

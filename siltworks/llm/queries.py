@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, secrets, simhash, substring, warc
+from . import decontam, langid, packing, quality, secrets, simhash, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.verdicts(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("p_quality", 6).alias("p_quality"))
+
+
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.repeats(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "first_word", "n_words", F.col("first_id").alias("first_doc_id"))
@@ -52,6 +57,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_quality": op2_quality,
     "op3_substring": op3_substring,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,

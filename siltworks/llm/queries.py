@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, quality, secrets, simhash, substring, warc
+from . import chat, decontam, langid, packing, quality, secrets, sharding, simhash, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,15 @@ def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "first_word", "n_words", F.col("first_id").alias("first_doc_id"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits().alias("fingerprint"), F.col("component").alias("component_id"))
@@ -59,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
     "op3_substring": op3_substring,
+    "op4_sharding": op4_sharding,
+    "op5_chat": op5_chat,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
@@ -68,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_secrets": secrets.SQL,
+    "op5_chat": chat.SQL,
 }

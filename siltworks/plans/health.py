@@ -34,7 +34,7 @@ def moves(cards: DataFrame, ledger: DataFrame, promote: int = 2, retire: int = 5
     proven = n("runs") >= MIN_RUNS
     up = proven & (F.col("lifecycle") == "probation") & (searches >= PROMOTE_SEARCHES) & (failing < PROMOTE_FAILURES) & ~weak
     down = proven & F.col("lifecycle").isin("probation", "active") & (((searches >= DEGRADE_SEARCHES) & (failing >= DEGRADE_FAILURES)) | weak)
-    out = (F.col("lifecycle") == "degraded") & F.col("provenance").startswith("llm") & (~n("has_proposal").cast("boolean") | (n("repairs") >= max_repairs))
+    out = (F.col("lifecycle") == "degraded") & F.col("provenance").startswith("llm") & (~F.coalesce("has_proposal", F.lit(False)) | (n("repairs") >= max_repairs))
     rows = rows.select("name", F.col("lifecycle").alias("before"), F.when(up, "active").when(down, "degraded").when(out, "retired").alias("after")).where("after IS NOT NULL")
     place = F.row_number().over(Window.partitionBy("after").orderBy("name"))
     limit = F.when(F.col("after") == "active", promote).when(F.col("after") == "retired", retire)

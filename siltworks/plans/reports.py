@@ -42,7 +42,7 @@ def caption_lengths(rows: DataFrame, n: Column) -> DataFrame:
 
 
 def queue_status(queue: DataFrame, by: str = "wave", statuses: list[str] | None = None) -> DataFrame:
-    return queue.groupBy(by).pivot("status", statuses or ["pending", "claimed", "done", "skipped"]).agg(F.count("*"))
+    return queue.groupBy(by).pivot("status", statuses or ["pending", "claimed", "done", "skipped"]).agg(F.count(F.lit(1)))
 
 
 def source_progress(queue: DataFrame) -> DataFrame:

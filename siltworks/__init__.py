@@ -1 +1,11 @@
-"""A Spark-first engine for building and curating content-addressed data lakes."""
+"""A Spark-first engine for building and curating content-addressed data lakes.
+
+Its Python code that runs on executors is shipped by value, so executors need
+no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _CJK = r"[\x{4e00}-\x{9fff}]"
 
@@ -95,7 +96,7 @@ def strip_tags(s) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(_c(s), F.lit("")), "<[^>]+>", ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(s: pd.Series) -> pd.Series:
     """Named and numeric HTML entities as characters, which no built-in does."""
     return s.map(html.unescape, na_action="ignore")

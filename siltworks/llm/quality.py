@@ -128,7 +128,7 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 50) -> tuple[fl
             share = {}
             for kind in (0, 1):
                 usual = {-1: 0.05, 0: 0.15, 1: 0.8} if kind else {-1: 0.5, 0: 0.15, 1: 0.35}
-                strength = 2 + 0.01 * total  # as if so many texts had been seen with the usual shares
+                strength = 2 + 0.001 * total  # as if so many texts had been seen with the usual shares
                 held = {v: strength * usual[v] for v in (-1, 0, 1)}
                 for p, c in patterns.items():
                     held[p[j]] += c * (good[p] if kind else 1 - good[p])

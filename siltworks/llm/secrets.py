@@ -86,8 +86,8 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = BASE) -> DataFrame:
 
 def ledger_rows(blobs: DataFrame) -> DataFrame:
     """What a scan of ``blobs`` adds to the ledger."""
-    key = F.split(F.explode("rules"), "@")
-    return blobs.select("blob", key.alias("k")).select("blob", F.col("k")[0].alias("rule"), F.col("k")[1].cast("int").alias("version"))
+    key = F.split("key", "@")
+    return blobs.select("blob", F.explode("rules").alias("key")).select("blob", key[0].alias("rule"), key[1].cast("int").alias("version"))
 
 
 def by_blob(findings: DataFrame, rules: tuple[Rule, ...] = BASE) -> DataFrame:

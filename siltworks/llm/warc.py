@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import new_path
+from .store import cut, new_path
 
 END = "\r\n\r\n"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -43,28 +43,46 @@ def digest(payload: Column) -> Column:
     return F.concat(*parts)
 
 
+def _payload(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col), F.lit(""))
+
+
+def _key(page_id: Column, payload_digest: Column) -> Column:
+    return F.concat_ws(":", page_id.cast("string"), payload_digest)
+
+
 def mark(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", text_col: str = "html") -> DataFrame:
-    """Pages with payload, payload_bytes, payload_digest, record_type and refers_to.
+    """``(key, page_id, payload_bytes, payload_digest, record_type, refers_to)`` for each page and payload, once.
 
     A null payload is empty.  Payloads under ``least_bytes`` are always
     responses.  Of equal payloads, rows of the least id are responses; a row
     without an id is a revisit if any other row of the payload has an id.
+    Payloads themselves are not shuffled.
     """
-    payload = F.coalesce(F.col(text_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), digest(payload).alias("payload_digest"))
+    payload = _payload(text_col)
+    rows = cut(pages.select(F.col(id_col).cast("long").alias("page_id"), F.octet_length(payload).cast("long").alias("payload_bytes"), digest(payload).alias("payload_digest")), "digests")
     first = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     first = first.where("n > 1").select("payload_digest", "first")
     again = (F.col("payload_bytes") >= least_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(first, "payload_digest", "left").withColumns({"record_type": F.when(again, "revisit").otherwise("response"), "refers_to": F.when(again, F.col("first"))}).drop("first")
+    rows = rows.distinct().join(first, "payload_digest", "left")
+    return rows.select(_key(F.col("page_id"), F.col("payload_digest")).alias("key"), "page_id", "payload_bytes", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
 
 
 def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
 
-def write(pages: DataFrame, path: str, archive_bytes: int = 16 << 20, **kw) -> None:
-    """Write gzipped archives of about ``archive_bytes`` (before compression, at most half of Spark's 2 GB a value) to ``path``."""
-    marked = mark(pages, **kw)
+def write(pages: DataFrame, path: str, archive_bytes: int = 16 << 20, least_bytes: int = 0, id_col: str = "page_id", text_col: str = "html") -> None:
+    """Write gzipped archives of about ``archive_bytes`` (before compression, at most half of Spark's 2 GB a value) to ``path``.
+
+    Pages are shuffled once, by id and digest; that shuffle's tasks write them.
+    """
+    marked = cut(mark(pages, least_bytes, id_col, text_col), "marks")
+    total = marked.agg(F.sum(F.col("payload_bytes") + 400)).first()[0] or 0
+    archives = max(1, -(-total // archive_bytes))
+    payload = _payload(text_col)
+    rows = pages.select(_key(F.col(id_col).cast("long"), digest(payload)).alias("key"), "url", payload.alias("payload"))
+    marked = rows.repartition(archives, "key").join(marked.repartition(archives, "key").hint("merge"), "key")
     kept = F.col("record_type") == "response"
     text = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     header = F.concat(
@@ -80,9 +98,7 @@ def write(pages: DataFrame, path: str, archive_bytes: int = 16 << 20, **kw) -> N
         F.when(kept, F.col("payload_bytes")).otherwise(0).cast("string"),
         F.lit(END),
     )
-    records = marked.select("page_id", "payload_digest", F.concat(header, F.when(kept, F.col("payload")).otherwise("")).alias("value"))
-    total = pages.agg(F.sum(F.octet_length(F.coalesce(F.col(kw.get("text_col", "html")), F.lit(""))) + 400)).first()[0] or 0
-    records = records.repartition(max(1, -(-total // archive_bytes)), "page_id", "payload_digest").select("value")
+    records = marked.select(F.concat(header, F.when(kept, F.col("payload")).otherwise("")).alias("value"))
     records.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 

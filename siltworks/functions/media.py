@@ -66,7 +66,8 @@ def call_model(rows: DataFrame, prompt: str, client: Callable[[list[str]], list[
 
 def call_once(rows: DataFrame, keys: list[str], prompt: str, client: Callable[[list[str]], list[str | None]], reply: str = "reply") -> DataFrame:
     """The same, asking once for each distinct key and joining the replies back."""
-    asked = call_model(rows.groupBy(*keys).agg(F.min(prompt).alias(prompt)), prompt, client, reply).drop(prompt)
+    asked = rows.groupBy(*keys).agg(F.min(prompt).alias("_prompt"))
+    asked = call_model(asked, "_prompt", client, reply).drop("_prompt")
     return rows.join(asked, keys, "left")
 
 

@@ -83,8 +83,8 @@ def images(page, hints: tuple[str, ...] = (), cap: int = 40, exclude: tuple[str,
     found = F.filter(F.concat(plain, entries), lambda u: F.lower(u).startswith("http") & u.rlike(_IMAGE))
     if upgrade:
         found = F.transform(found, to_https)
-    for part in (*DECORATION, *exclude):
-        found = F.filter(found, lambda u, part=part: ~F.lower(u).contains(part))
+    unwanted = F.array(*(F.lit(p) for p in (*DECORATION, *exclude)))
+    found = F.filter(found, lambda u: ~F.exists(unwanted, lambda p: F.lower(u).contains(p)))
     if hints:
         hinted = lambda u: F.exists(F.array(*(F.lit(h) for h in hints)), lambda h: F.lower(u).contains(h))
         found = F.concat(F.filter(found, hinted), F.filter(found, lambda u: ~hinted(u)))

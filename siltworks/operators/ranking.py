@@ -101,7 +101,7 @@ def batches(df: DataFrame, group: str, item: str, size: int = 80) -> DataFrame:
             out.append(f"small-{number}")
         return rows.assign(own=out)[[group, "own"]]
 
-    filled = small.groupBy(F.lit(0)).applyInPandas(fill, small.select(group).schema.add("own", "string"))
+    filled = small.groupBy().applyInPandas(fill, small.select(group).schema.add("own", "string"))
     place = F.row_number().over(Window.partitionBy(group).orderBy(item)) - 1
     alone = F.concat_ws("-", F.col(group), F.floor(place / size).cast("string"))
     return df.withColumn("_alone", alone).join(filled, group, "left").withColumn("batch", F.coalesce("own", "_alone")).drop("_alone", "own")

@@ -70,6 +70,7 @@ class WorkQueue(StatefulProcessor):
 
     STALE, MOST, BASE, LONGEST = 600.0, 3, 1.0, 120.0
     OUT = "key string, status string, attempts int, next_try double"
+    TIME = "ProcessingTime"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -120,6 +121,7 @@ class SourceCap(StatefulProcessor):
     """
 
     OUT = "source string, cap double"
+    TIME = "None"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.cap = handle.getValueState("cap", "cap double")
@@ -139,8 +141,12 @@ class SourceCap(StatefulProcessor):
 
 
 def stateful(stream: DataFrame, key: str, processor: StatefulProcessor) -> DataFrame:
-    """A processor over a keyed stream.  It needs the RocksDB state store."""
-    return stream.groupBy(key).transformWithStateInPandas(processor, processor.OUT, "Update", "ProcessingTime")
+    """A processor over a keyed stream.  It needs the RocksDB state store.
+
+    A processor with timers runs batches without data too, so such a query
+    doesn't end by itself, unless ``spark.sql.streaming.noDataMicroBatches.enabled`` is off.
+    """
+    return stream.groupBy(key).transformWithStateInPandas(processor, processor.OUT, "Update", processor.TIME)
 
 
 def use_rocksdb(spark: SparkSession) -> None:

@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,53 +33,72 @@ from .store import cut
 _CHUNK = 65_536
 
 
-def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
-    """The 64-bit fingerprint of a UTF-8 text, unsigned; 0 where there is no word."""
+def _mixed(h: np.ndarray, unit: int) -> np.ndarray:
+    """Another 64 bits from each hash; the hash itself for unit 0."""
+    if not unit:
+        return h
+    x = h + np.uint64(unit * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: bytes | None, width: int = 3, units: int = 1, seed: int = 42) -> np.ndarray:
+    """The fingerprint of a UTF-8 text, in units of 64 bits; all zero where there is no word."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return np.zeros(units, np.uint64)
     if len(words) <= width:
         shingles: Iterator[bytes] = iter([b" ".join(words)])
         n = 1
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
         n = len(words) - width + 1
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest, ones = xxhash.xxh64_intdigest, np.zeros((units, 64), np.int64)
     hashes = (digest(s, seed) for s in shingles)
     for at in range(0, n, _CHUNK):
         h = np.fromiter(hashes, "<u8", min(_CHUNK, n - at))
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+        for u in range(units):
+            bits = np.unpackbits(_mixed(h, u).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[u] += bits.sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > n, axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """``(id, fp)`` for each row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, units: int = 1) -> DataFrame:
+    """``(id, node, bits)`` for each row: the units as signed longs, and one long for all of them (the unit, if it is one)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
-    out = rows.select("id").schema.add("fp", "long")
+    names = [f"u{i}" for i in range(units)]
+    out = rows.select("id").schema
+    for n in names:
+        out = out.add(n, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(x.as_py(), width) for x in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
+            fp = np.array([fingerprint(x.as_py(), width, units) for x in b.column(1)], np.uint64).reshape(-1, units).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(fp[:, i]) for i in range(units))], ["id", *names])
 
-    return rows.mapInArrow(run, out)
+    found = rows.mapInArrow(run, out)
+    return found.select("id", (F.col("u0") if units == 1 else F.xxhash64(*names)).alias("node"), F.array(*names).alias("bits"))
 
 
-def _blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, bits) of radius + 1 blocks that cover 64 bits."""
-    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
+def _blocks(parts: int) -> list[tuple[int, int]]:
+    """(shift, bits) of the blocks into which 64 bits are cut."""
+    edges = [64 * i // parts for i in range(parts + 1)]
     return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:], strict=False)]
 
 
 def forest(x: np.ndarray, y: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of the graph of elements within ``radius`` bits: inside x, or between x and y."""
-    z = x if y is None else np.concatenate([x, y])
+    """Spanning links, as places in x and then y, of the graph of rows within ``radius`` bits: inside x, or between x and y."""
+    n = len(x) + (0 if y is None else len(y))
     other = x if y is None else y
     near = np.empty((len(x), len(other)), bool)
     for i in range(0, len(x), 256):
-        near[i : i + 256] = np.bitwise_count(x[i : i + 256, None] ^ other[None, :]) <= radius
-    label = np.arange(len(z), dtype=np.int32)
-    far = np.int32(len(z))
+        apart = np.bitwise_count(x[i : i + 256, None, 0] ^ other[None, :, 0]).astype(np.uint16)
+        for u in range(1, x.shape[1]):
+            apart += np.bitwise_count(x[i : i + 256, None, u] ^ other[None, :, u])
+        near[i : i + 256] = apart <= radius
+    label = np.arange(n, dtype=np.int32)
+    far = np.int32(n)
     rows = np.flatnonzero(near.any(1))
     cols = np.flatnonzero(near.any(0))
     near = near[np.ix_(rows, cols)]
@@ -92,30 +112,30 @@ def forest(x: np.ndarray, y: np.ndarray | None, radius: int) -> tuple[np.ndarray
         label = label[label]
         if (label == before).all():
             break
-    moved = np.flatnonzero(label != np.arange(len(z)))
-    return z[moved], z[label[moved]]
+    moved = np.flatnonzero(label != np.arange(n))
+    return moved, label[moved]
 
 
 def _compare(radius: int):
-    """Sorted rows (item, side, fp) to links; an item's rows stand together."""
+    """Sorted rows (item, side, node, units) to links; an item's rows stand together."""
 
-    def links(item: np.ndarray, side: np.ndarray, fp: np.ndarray) -> tuple[list, list]:
+    def links(item: np.ndarray, side: np.ndarray, node: np.ndarray, bits: np.ndarray) -> tuple[list, list]:
         starts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
         ends = np.r_[starts[1:], len(item)]
         a, b = [], []
         for s, e in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
             if e - s == 2 and side[s] != 1:
-                if int(fp[s] ^ fp[s + 1]).bit_count() <= radius:
-                    a.append(fp[s : s + 1]), b.append(fp[s + 1 : s + 2])
+                if np.bitwise_count(bits[s] ^ bits[s + 1]).sum() <= radius:
+                    a.append(node[s : s + 1]), b.append(node[s + 1 : s + 2])
                 continue
             if 2 in (side[s], side[e - 1]):  # a tile against itself
-                p, q = forest(fp[s:e], None, radius)
+                p, q = forest(bits[s:e], None, radius)
             else:
                 k = s + int(np.searchsorted(side[s:e], 1))
                 if k in (s, e):
                     continue
-                p, q = forest(fp[s:k], fp[k:e], radius)
-            a.append(p), b.append(q)
+                p, q = forest(bits[s:k], bits[k:e], radius)
+            a.append(node[s:e][p]), b.append(node[s:e][q])
         return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,42 +148,48 @@ def _compare(radius: int):
             kept.clear()
             a, b = links(*cols)
             if a:
-                a, b = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            item, side, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            fp = fp.view(np.uint64)
+            item, side, node, *units = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            bits = np.stack(units, axis=1).view(np.uint64)
             last = int(np.searchsorted(item, item[-1]))  # the last item may go on in the next batch
             if last:
-                kept.append((item[:last], side[:last], fp[:last]))
+                kept.append((item[:last], side[:last], node[:last], bits[:last]))
                 yield from flush()
-            kept.append((item[last:], side[last:], fp[last:]))
+            kept.append((item[last:], side[last:], node[last:], bits[last:]))
         yield from flush()
 
     return run
 
 
-def links(nodes: DataFrame, radius: int = 2, tile: int = 2048) -> DataFrame:
-    """Links ``(a, b)`` that connect just what chains of links of ``nodes(fp)`` connect."""
+def links(nodes: DataFrame, radius: int = 2, tile: int = 2048, units: int = 1, bands: int | None = None) -> DataFrame:
+    """Links ``(a, b)`` that connect just what chains of links of ``nodes(node, bits)`` connect.
+
+    Without ``bands`` a unit is cut into ``radius + 1`` blocks, so that no link
+    is lost.  For wide radii, ``bands`` blocks in each unit find a pair by any
+    of them: one that differs in a share p of all bits is missed with the
+    chance ``(1 - (1 - p) ** (64 / bands)) ** (bands * units)``.
+    """
 
-    def block(i: int, shift: int, bits: int) -> Column:
-        value = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << bits) - 1))
-        return F.struct(F.lit(i).alias("block"), value.cast("long").alias("value"))
+    def block(unit: int, i: int, shift: int, bits: int) -> Column:
+        value = F.shiftrightunsigned(F.col("bits")[unit], shift).bitwiseAND(F.lit((1 << bits) - 1))
+        return F.struct(F.lit(100 * unit + i).alias("block"), value.cast("long").alias("value"))
 
-    ranges = _blocks(radius)
-    rows = nodes.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*(block(i, *r) for i, r in enumerate(ranges)))).alias("k")).select("fp", "ones", "k.block", "k.value")
+    blocks = [block(u, i, *r) for u in range(units) for i, r in enumerate(_blocks(bands or radius + 1))]
+    ones = sum((F.bit_count(F.col("bits")[u]) for u in range(units)), F.lit(0))
+    rows = nodes.select("node", "bits", ones.alias("ones"), F.explode(F.array(*blocks)).alias("k")).select("node", "bits", "ones", "k.block", "k.value")
     sizes = rows.groupBy("block", "value", "ones").count()
-    # hot buckets only: at most (radius + 1) * nodes / tile of them, with a tile list each
+    # hot buckets only: at most blocks * nodes / tile of them, with a tile list each
     hot = (
         sizes.groupBy("block", "value")
         .agg(F.sum("count").alias("n"), F.map_from_entries(F.collect_list(F.struct("ones", F.ceil(F.col("count") / tile).cast("int")))).alias("parts"))
         .where(F.col("n") > tile)
         .select("block", "value", "parts")
     )
-    part = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")[F.col("ones")]).cast("int")
+    part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")[F.col("ones")]).cast("int")
     own = F.struct(F.col("ones").cast("int").alias("ones"), part.alias("part"))
     partners = F.flatten(
         F.transform(
@@ -173,17 +199,17 @@ def links(nodes: DataFrame, radius: int = 2, tile: int = 2048) -> DataFrame:
     )
     alone = F.array(F.struct(F.lit(0).alias("ones"), F.lit(0).alias("part")))
     laid = rows.join(hot, ["block", "value"], "left").select(
-        "fp", "block", "value", F.when(F.col("parts").isNull(), alone[0]).otherwise(own).alias("own"), F.explode(F.when(F.col("parts").isNull(), alone).otherwise(partners)).alias("other")
+        "node", "bits", "block", "value", F.when(F.col("parts").isNull(), alone[0]).otherwise(own).alias("own"), F.explode(F.when(F.col("parts").isNull(), alone).otherwise(partners)).alias("other")
     )
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
     item = F.xxhash64("block", "value", F.least("own", "other"), F.greatest("own", "other"))
-    work = laid.select(item.alias("item"), side.cast("int").alias("side"), "fp")
-    work = work.repartition("item").sortWithinPartitions("item", "side", "fp")
+    work = laid.select(item.alias("item"), side.cast("int").alias("side"), "node", *(F.col("bits")[u].alias(f"u{u}") for u in range(units)))
+    work = work.repartition("item").sortWithinPartitions("item", "side", "node")
     return work.mapInArrow(_compare(radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2, tile: int = 2048) -> DataFrame:
-    """``(id, fp, component)`` for each row of ``docs``.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2, tile: int = 2048, units: int = 1, bands: int | None = None) -> DataFrame:
+    """``(id, fp, component)`` for each row of ``docs``; fp is the fingerprint, or a hash of it if it has several units.
 
     component is the least id among the rows reachable by links of at most
     ``radius`` differing bits.  A null text has no words: its fingerprint is 0,
@@ -191,14 +217,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their id; a component of such rows alone has a null component.  Repeated
     rows are kept.  An empty table gives an empty result.
     """
-    marked = cut(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("id").alias("least"))
-    found = components(links(marked.select("fp").distinct(), radius, tile))
-    grouped = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    marked = cut(fingerprints(docs, id_col, text_col, width, units), "fingerprints")
+    nodes = marked.groupBy("node").agg(F.min("id").alias("least"))
+    found = components(links(marked.select("node", "bits").distinct(), radius, tile, units, bands)).withColumnRenamed("node", "_n")
+    grouped = nodes.join(found, nodes["node"] == found["_n"], "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     grouped = cut(grouped, "nodes")
     least = grouped.groupBy("root").agg(F.min("least").alias("component"))
-    named = grouped.join(least, "root").select("fp", "component")
-    return marked.join(named, "fp", "left").select("id", "fp", "component")
+    named = grouped.join(least, "root").select("node", "component")
+    return marked.select("id", "node").join(named, "node", "left").select("id", F.col("node").alias("fp"), "component")
 
 
 def hex_digits(fp: str = "fp") -> Column:
@@ -206,6 +232,17 @@ def hex_digits(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def radius_of(similarity: float, units: int, errors: float = 1.5) -> int:
+    """The bits in which fingerprints of sets of one size may differ if their Jaccard similarity is at least so much.
+
+    That is the expected number and ``errors`` standard errors, so that few
+    pairs at or above the similarity are lost; pairs a little below it link too.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    n = 64 * units
+    return int(n * share + errors * math.sqrt(n * share * (1 - share)))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The documents of ``docs`` whose id is the least of their component; columns as in ``docs``.
 

@@ -68,7 +68,7 @@ def test_tiles_lose_no_link(spark, tile):
         fps.add(base ^ sum(1 << (43 + rng.randrange(20)) for _ in range(rng.randrange(1, 6))))
     fps |= {rng.getrandbits(64) for _ in range(100)}
     fps = sorted(fps)
-    nodes = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp long")
+    nodes = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)), [int(np.uint64(f).astype(np.int64))]) for f in fps], "node long, bits array<long>")
     links = simhash.links(nodes, 2, tile)
     found = {r["node"] % (1 << 64): r["root"] % (1 << 64) for r in graph.components(links).collect()}
     want = plain_components(fps, list(range(len(fps))))
@@ -79,6 +79,28 @@ def test_tiles_lose_no_link(spark, tile):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
+def test_similarity_of_fingerprints_finds_near_copies(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
+    rows, near = [], set()
+    for g in range(120):
+        words = [word() for _ in range(rng.randrange(150, 600))]
+        rows.append((3 * g, " ".join(words)))
+        edited = list(words)
+        for _ in range(len(words) // 100):  # about one word in a hundred: 0.9 of five-word shingles in common
+            edited[rng.randrange(len(words))] = word()
+        rows.append((3 * g + 1, " ".join(edited)))
+        near.add(3 * g + 1)
+        rows.append((3 * g + 2, " ".join([*words[: len(words) // 3], *(word() for _ in range(len(words)))])))  # a third in common: no copy
+    radius = simhash.radius_of(0.8, 4)
+    assert radius == 47
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=5, units=4, bands=5, radius=radius).collect()
+    moved = {r["id"] for r in got if r["id"] != r["component"]}
+    assert not moved - near
+    assert len(near - moved) <= 2
+    assert all(r["component"] == r["id"] - 1 for r in got if r["id"] in moved)
+
+
 def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 64)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3), (101, 100)]
     got = {(r["node"], r["root"]) for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}

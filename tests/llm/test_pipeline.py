@@ -2,11 +2,11 @@
 
 import public_tokenizers
 from pyspark.sql import functions as F
-from test_pairs import plain_components, plain_fingerprint, plain_leaks
+from test_pairs import plain_components, plain_leaks
 from test_rows import check_pieces, plain_quality, plain_spans
 
 import corpus_pipeline
-from siltworks.llm import queries, store
+from siltworks.llm import queries, simhash, store
 
 
 def test_stages(spark, sf):
@@ -21,8 +21,11 @@ def test_stages(spark, sf):
     text = {k: {r["doc_id"]: r["text"] for r in d.collect()} for k, d in seen.items() if k != "packing"}
     assert not [i for i in text["quality"] if plain_quality(text["start"][i])[-1]]
     ids = sorted(text["quality"])
-    least = plain_components([plain_fingerprint(text["quality"][i]) for i in ids], ids)
-    assert sorted(text["near_duplicates"]) == sorted(set(least))
+    prints = [int.from_bytes(simhash.fingerprint((text["quality"][i] or "").encode(), 5, 4).tobytes(), "little") for i in ids]
+    least = set(plain_components(prints, ids, simhash.radius_of(0.8, 4)))
+    assert least <= set(text["near_duplicates"])
+    assert len(set(text["near_duplicates"]) - least) <= 0.02 * len(least)  # blocks miss few links
+    assert len({text["quality"][i] for i in text["near_duplicates"]}) == len(text["near_duplicates"])
     items = queries.table(spark, sf, "benchmark").select("item_id", "text").collect()
     leaks = {i for i, _ in plain_leaks(text["near_duplicates"].items(), items)}
     assert set(text["decontamination"]) == set(text["near_duplicates"]) - leaks

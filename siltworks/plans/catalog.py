@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text, urls, values
 from ..operators import gates, manifest, ranking
 from ..sources import spec
-from . import bulk, coverage, emerge, health, probes, reports, tree
+from . import bulk, collect, coverage, emerge, health, probes, reports, tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -544,15 +544,50 @@ def status_recent(s, d):
     return rows.agg(F.max("ts").alias("at"), since("1 DAY").alias("last_day"), since("6 HOUR").alias("last_hours"))
 
 
-@query("""SELECT c_mktsegment AS segment, count(*) AS n, string_agg(o_orderkey, ',' ORDER BY k) AS items FROM (
-SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders JOIN customer ON o_custkey = c_custkey) WHERE k <= 30 GROUP BY 1""")
+@query("""SELECT o_custkey AS customer, count(*) AS n, string_agg(o_orderkey, ',' ORDER BY o_totalprice DESC, o_orderkey) AS items FROM orders GROUP BY 1""")
 def viewer_index(s, d):
-    rows = read(s, d, "orders").join(read(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    rows = ranking.top_n(rows, ["c_mktsegment"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 30)
-    rows = rows.select(F.col("c_mktsegment").alias("segment"), F.col("o_totalprice").alias("kb_match"), F.lit(0).alias("richness"), F.lit(0).alias("source_rank"), F.array(F.lit(1)).alias("tiers"), F.col("o_orderkey").alias("sha256"))
-    out = reports.viewer_index(rows, "segment", ["sha256"])
+    rows = read(s, d, "orders")
+    rows = rows.select(F.col("o_custkey").alias("customer"), F.col("o_totalprice").alias("kb_match"), F.lit(0).alias("richness"), F.lit(0).alias("source_rank"), F.array(F.lit(1)).alias("tiers"), F.col("o_orderkey").alias("sha256"))
+    out = reports.viewer_index(rows, "customer", ["sha256"])
     keys = F.transform(F.from_json("items", "array<struct<sha256:bigint>>"), lambda x: x["sha256"].cast("string"))
-    return out.select("segment", "n", F.concat_ws(",", keys).alias("items"))
+    return out.select("customer", "n", F.concat_ws(",", keys).alias("items"))
+
+
+@query("""SELECT count(*) FILTER (st = 'ok' AND l_returnflag = 'N') AS authorized, count(*) FILTER (st = 'ok' AND l_returnflag <> 'N') AS unauthorized, CAST(coalesce(sum(l_partkey) FILTER (st = 'ok'), 0) AS BIGINT) AS bytes,
+count(*) FILTER (st = 'capped') AS capped, count(*) FILTER (st = 'gate_rejected') AS gate_rejected, count(*) FILTER (st = 'failed') AS failed
+FROM (SELECT *, CASE l_linenumber WHEN 1 THEN 'capped' WHEN 2 THEN 'gate_rejected' WHEN 3 THEN 'failed' ELSE 'ok' END AS st FROM lineitem)""")
+def run_stats(s, d):
+    n = F.col("l_linenumber")
+    status = F.when(n == 1, "capped").when(n == 2, "gate_rejected").when(n == 3, "failed").otherwise("ok")
+    return collect.run_stats(read(s, d, "lineitem").select(status.alias("status"), (F.col("l_returnflag") == "N").alias("source_authorized"), F.col("l_partkey").alias("size_bytes")))
+
+
+@query("""SELECT event_type, day, n, n - lag(n) OVER (PARTITION BY event_type ORDER BY day) AS delta FROM (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2)""")
+def baseline_delta(s, d):
+    days = read(s, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    return collect.deltas(days, "event_type", "day", "n")
+
+
+@query("""WITH c AS (SELECT l_orderkey AS instance, l_suppkey % 5 AS source, 'https://x/' || l_partkey AS url, l_linenumber AS batch, l_quantity FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY instance, source ORDER BY batch, url) - 1 AS source_rank FROM c),
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY instance, url ORDER BY source_rank, source) AS k FROM r) WHERE k = 1),
+j AS (SELECT u.*, o_orderkey IS NULL AS lost FROM u LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderkey % 9 <> 0) ON o_orderkey = instance),
+x AS (SELECT *, CASE WHEN lost THEN 'no_job' WHEN l_quantity > 45 THEN 'too_large' END AS reason FROM j),
+g AS (SELECT *, count(*) OVER (PARTITION BY instance, batch) AS n FROM x WHERE reason IS NULL),
+b AS (SELECT instance, batch FROM (SELECT instance, batch, coalesce(sum(n) OVER (PARTITION BY instance ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT DISTINCT instance, batch, n FROM g)) WHERE before < 4),
+p AS (SELECT g.*, row_number() OVER (PARTITION BY instance, source ORDER BY source_rank, url) AS place FROM g JOIN b USING (instance, batch))
+SELECT fate, count(*) AS n FROM (SELECT CASE WHEN place > 1 THEN 'leftover' WHEN url IN (SELECT 'https://x/' || p_partkey FROM part WHERE p_size < 15) THEN 'reuse' ELSE 'fetch' END AS fate FROM p UNION ALL SELECT 'rejected' FROM x WHERE reason IS NOT NULL) GROUP BY 1""")
+def collection_batch(s, d):
+    url = F.concat(F.lit("https://x/"), F.col("l_partkey"))
+    c = read(s, d, "lineitem").select(
+        F.col("l_orderkey").alias("instance"), (F.col("l_suppkey") % 5).alias("source"), url.alias("content_url"), url.alias("asset_id"), F.col("l_linenumber").alias("batch"), F.lit(None).cast("bigint").alias("source_rank"),
+        F.lit("image/png").alias("declared_mime"), F.col("l_quantity").alias("declared_size"), F.lit(None).cast("string").alias("license_raw"), F.lit(False).alias("source_authorized"),
+    )
+    jobs = read(s, d, "orders").where("o_orderkey % 9 <> 0").select(F.col("o_orderkey").alias("instance"))
+    known = read(s, d, "part").where("p_size < 15").select(F.concat(F.lit("https://x/"), F.col("p_partkey")).alias("content_url"), F.lit("h").alias("sha256"))
+    p = collect.planned(c, jobs, known, None, 1, 4, max_bytes=45)
+    parts = [f.select(F.lit(n).alias("fate")) for n, f in (("fetch", p.fetch), ("reuse", p.reuse), ("rejected", p.rejected), ("leftover", p.leftover))]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3]).groupBy("fate").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT prefix, source, found, coalesce(done, 0) AS done FROM (SELECT 'n' || (c_nationkey % 5) AS prefix, c_mktsegment AS source, count(*) AS found FROM customer GROUP BY 1, 2)

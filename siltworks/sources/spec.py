@@ -132,3 +132,9 @@ def request(job_query: Column, wanted: Column, spec: dict) -> Column:
     if size.get("param"):
         parts += [F.lit(f"{size['param']}="), n.cast("string")]
     return F.struct(F.regexp_replace(F.concat(*parts), "[?&]$", "").alias("url"), q.alias("query"), n.alias("page_size"))
+
+
+def container(document: Column, keys: tuple[str, ...] = ("data", "results", "items", "hits", "list", "images", "photos", "posts")) -> Column:
+    """The first of the usual keys, in order, that holds a list; ``$`` if the document is one; else null."""
+    options = [F.when(lookup(document, k).startswith("["), f"$.{k}") for k in keys]
+    return F.coalesce(F.when(F.ltrim(document).startswith("["), "$"), *options)

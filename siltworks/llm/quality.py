@@ -171,7 +171,7 @@ def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
     nor rows without an id need a join.
     """
     own = {c: f"_{i}_{c}" for i, c in enumerate(docs.columns)}  # free of clashes with the statistics
-    rows = docs.select(*(F.col(c).alias(n) for c, n in own.items()))
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()))
     judged = judge(cut(with_statistics(rows, own[text_col]), "measured"))
     return judged.where("kept").select(*(F.col(n).alias(c) for c, n in own.items()))
 

@@ -42,14 +42,10 @@ BASE = (
 )
 
 
-def with_blob(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the blob's name, as column ``_blob``.  A null text is empty."""
-    return docs.withColumn("_blob", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-
-
 def unseen(docs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None = None, text_col: str = "text") -> DataFrame:
-    """``(blob, text, rules)``: each blob with rules that the ledger (blob, rule, version) lacks, once."""
-    rows = with_blob(docs, text_col).select(F.col("_blob").alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    """``(blob, text, rules)``: each blob with rules that the ledger (blob, rule, version) lacks, once.  A null text is empty."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.sha2(text, 256).alias("blob"), text.alias("text"))
     wanted = F.array(*(F.lit(r.key) for r in rules))
     if ledger is not None:
         seen = ledger.select("blob", F.concat_ws("@", "rule", "version").alias("key")).where(F.col("key").isin([r.key for r in rules]))
@@ -97,20 +93,27 @@ def by_blob(findings: DataFrame, rules: tuple[Rule, ...] = BASE) -> DataFrame:
     return findings.groupBy("blob").agg(*counts, spans.alias("found"))
 
 
+def _rows_with_findings(docs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None, earlier: DataFrame | None, text_col: str) -> DataFrame:
+    """``(_row, n_<rule>, found)``: rows as structs, so that no name of theirs can clash, with their blobs' findings."""
+    found = scan(unseen(docs, rules, ledger, text_col), rules)
+    if earlier is not None:
+        found = found.unionByName(earlier.select(found.columns))
+    found = by_blob(found, rules)
+    rows = docs.select(F.struct("*").alias("_row"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob")).join(found, "blob", "left")
+    none = F.array().cast(found.schema["found"].dataType)
+    return rows.select("_row", *(F.coalesce(f"n_{r.name}", F.lit(0)).alias(f"n_{r.name}") for r in rules), F.coalesce("found", none).alias("found"))
+
+
 def findings_of(docs: DataFrame, rules: tuple[Rule, ...] = BASE, ledger: DataFrame | None = None, earlier: DataFrame | None = None, text_col: str = "text") -> DataFrame:
     """``docs`` with counts ``n_<rule>`` and ``found``, an array of spans, for every path.
 
     ``earlier`` are findings of earlier scans, to go with ``ledger``.  A null
     text is scanned as an empty one.  Repeated rows each get the findings of
-    their text.  Columns of ``docs`` that clash with the added ones are an error.
+    their text.  Columns of ``docs`` by an added name give way to it.
     """
-    found = scan(unseen(docs, rules, ledger, text_col), rules)
-    if earlier is not None:
-        found = found.unionByName(earlier.select(found.columns))
-    found = by_blob(found, rules)
-    rows = with_blob(docs, text_col).join(found.withColumnRenamed("blob", "_blob"), "_blob", "left").drop("_blob")
-    none = F.array().cast(found.schema["found"].dataType)
-    return rows.withColumns({f"n_{r.name}": F.coalesce(f"n_{r.name}", F.lit(0)) for r in rules} | {"found": F.coalesce("found", none)})
+    rows = _rows_with_findings(docs, rules, ledger, earlier, text_col)
+    own = [c for c in docs.columns if c not in rows.columns]
+    return rows.select(*(F.col("_row")[c].alias(c) for c in own), *rows.columns[1:])
 
 
 def as_text(found: Column) -> Column:
@@ -118,12 +121,13 @@ def as_text(found: Column) -> Column:
     return F.concat_ws(",", F.transform(found, lambda s: F.concat_ws(":", s["rule"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE, text_col: str = "text", mask: str = "[SECRET]", length_col: str | None = None) -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mask``; spans that overlap or touch share one.
 
-    Columns as in ``docs``.  Texts without findings, null ones included, stay as they are.
+    Columns as in ``docs``; ``length_col`` follows where a text changes.
+    Texts without findings, null ones included, stay as they are.
     """
-    rows = findings_of(docs, rules, text_col=text_col)
+    rows = _rows_with_findings(docs, rules, None, None, text_col)
     pair = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
 
     def merge(acc: Column, s: Column) -> Column:
@@ -133,13 +137,18 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE, text_col: str = "tex
 
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
     merged = F.aggregate(F.transform("found", pair), empty, merge)
-    whole = F.col(text_col)
+    whole = F.col("_row")[text_col]
     cut = lambda a, b: F.substring(whole, (a + 1).cast("int"), (b - a).cast("int"))
     built = F.transform(F.array(merged), lambda m: F.concat(
         F.concat_ws("", F.transform(m, lambda s, i: F.concat(cut(F.when(i > 0, F.get(m, i - 1)["end"]).otherwise(F.lit(0)), s["start"]), F.lit(mask)))),
         F.substring(whole, (F.element_at(m, -1)["end"] + 1).cast("int"), F.lit(2**31 - 1)),
     ))[0]
-    return rows.withColumn(text_col, F.when(F.size("found") > 0, built).otherwise(whole)).select(docs.columns)
+    rows = rows.withColumn("_new", F.when(F.size("found") > 0, built).otherwise(whole))
+    made = {text_col: F.col("_new")}
+    if length_col:
+        kind = docs.schema[length_col].dataType
+        made[length_col] = F.when(F.size("found") > 0, F.length("_new").cast(kind)).otherwise(F.col("_row")[length_col])
+    return rows.select(*(made.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
 _PARTS = """

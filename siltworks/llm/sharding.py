@@ -83,7 +83,7 @@ def splitters(rows: DataFrame, ranges: int, large: set[int], total: int) -> list
     return bounds
 
 
-def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 250_000, whole: float = 0.01) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 1_000_000, whole: float = 0.01) -> DataFrame:
     """``(id, size, text_crc32, shard, slot)`` for each row; slots count from 0 in each shard.
 
     Ranges number at least 32 a shard and one for ``rows_per_range`` rows.

@@ -38,7 +38,7 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(texts: list[bytes], one_in: int = 5, most: int = 24, least: int = 12) -> tuple[np.ndarray, ...]:
+def chunks(texts: list[bytes], one_in: int = 4, most: int = 24, least: int = 12) -> tuple[np.ndarray, ...]:
     """(text, first word, words, digest) of every digested chunk of the texts."""
     words = [t.replace(b"\0", b" ").split() for t in texts]
     data = b"".join(x for ws in words for x in (_PAD, b" ".join(ws), b" "))

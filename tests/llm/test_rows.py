@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siltworks.llm import chat, langid, packing, quality, queries, secrets, sharding, warc
+from siltworks.llm import chat, langid, packing, quality, queries, secrets, sharding, simhash, substring, warc
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -72,6 +72,24 @@ def test_redaction(spark, odd):
             old = old[:s] + "[SECRET]" + old[e:]
         assert r["text"] == old
     assert secrets.redact(odd).columns == odd.columns and secrets.redact(odd).count() == odd.count()
+    clash = docs.select("doc_id", "text", *(F.lit(7).alias(c) for c in ("blob", "found", "n_hex", "rules", "number", "_row", "_new", "n")))
+    got = secrets.redact(clash, length_col="n").collect()
+    assert all(r["n"] == (len(r["text"]) if r["text"] != SECRETS[r["doc_id"]] else 7) and r["found"] == 7 for r in got)
+    assert {r["n_hex"] for r in secrets.findings_of(clash).collect()} <= {0, 1, 2}
+
+
+def test_names_that_clash(spark, odd):
+    """No operator trips over extra columns by names that it uses itself."""
+    names = ["id", "node", "bits", "h", "size", "shard", "slot", "r", "t", "p", "u0", "digest", "first", "words", "lang_pred", "score", "n_words", "kept", "v", "_text", "place", "component", "key", "blob", "found", "least"]
+    wide = odd.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    n = odd.count()
+    assert simhash.one_of_each(wide).columns == wide.columns
+    assert quality.keep(wide).columns == wide.columns
+    assert quality.verdicts(wide).count() == sharding.shard(wide).count() == n
+    assert substring.repeats(wide).count() == substring.repeats(odd).count()
+    assert packing.pack(wide, PATH).count() > 0
+    assert langid.identify(wide, langid.fit(wide, F.lit(True))).count() == n
+    assert secrets.redact(wide).columns == wide.columns
 
 
 def plain_quality(text):

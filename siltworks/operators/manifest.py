@@ -11,28 +11,39 @@ from ..functions.values import blob_path
 from .ranking import first_of
 
 
-def _ordered_union(array: str, seq: str) -> Column:
-    lists = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(array).alias("a"))))
-    return F.array_distinct(F.flatten(F.transform(F.filter(lists, lambda x: x["a"].isNotNull()), lambda x: x["a"])))
+def _element(name: str, part):
+    return lambda x, i: part(name, x, F.lit(None), i)
 
 
-def _first_wins(map_: str, seq: str) -> Column:
-    lists = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.map_entries(map_).alias("e"))))
-    entries = F.flatten(F.transform(F.filter(lists, lambda x: x["e"].isNotNull()), lambda x: x["e"]))
-    keys = F.transform(entries, lambda e: e["key"])
-    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1))
+def _entry(name: str, part):
+    return lambda e: part(name, e["key"], e["value"], F.lit(0))
 
 
 def merge(rows: DataFrame, key: str, seq: str, arrays: Sequence[str] = (), maps: Sequence[str] = ()) -> DataFrame:
     """One row for each key: scalars of the first row in ``seq``, arrays as ordered unions, maps with the first of each key.
 
-    The first row's scalars travel as one struct under ``min_by``, so rows are
-    combined before the shuffle.
+    Elements and entries are first reduced to the distinct ones of each key,
+    with map-side combining, so a key that holds a large share of all rows
+    gathers no more than its distinct elements.  A null array is an empty one.
     """
     scalars = [c for c in rows.columns if c not in (key, *arrays, *maps)]
-    first = F.min_by(F.struct(*scalars), F.col(seq)).alias("_first")
-    made = [_ordered_union(a, seq).alias(a) for a in arrays] + [_first_wins(m, seq).alias(m) for m in maps]
-    return rows.groupBy(key).agg(first, *made).select(key, "_first.*", *arrays, *maps).select(*rows.columns)
+    merged = rows.groupBy(key).agg(F.min_by(F.struct(*scalars), F.col(seq)).alias("_first"))
+    if arrays or maps:
+        part = lambda n, k, v, i: F.struct(F.lit(n).alias("n"), k.cast("string").alias("k"), v.cast("string").alias("v"), i.cast("int").alias("i"))
+        none = F.array().cast("array<struct<n:string,k:string,v:string,i:int>>")
+        lists = [F.coalesce(F.transform(a, _element(a, part)), none) for a in arrays]
+        lists += [F.coalesce(F.transform(F.map_entries(m), _entry(m, part)), none) for m in maps]
+        items = rows.select(key, F.col(seq).alias("_s"), F.explode(F.concat(*lists)).alias("e")).select(key, "_s", "e.*")
+        at = F.struct("_s", "i")
+        items = items.groupBy(key, "n", "k").agg(F.min(at).alias("at"), F.min_by("v", at).alias("v"))
+        gathered = [F.array_sort(F.collect_list(F.when(F.col("n") == c, F.struct("at", "k", "v")))).alias(f"_{c}") for c in (*arrays, *maps)]
+        items = items.groupBy(F.col(key).alias("_key")).agg(*gathered)
+        merged = merged.join(items, merged[key].eqNullSafe(items["_key"]), "left")
+    kind = {f.name: f.dataType for f in rows.schema}
+    made = {a: F.coalesce(F.transform(f"_{a}", lambda x: x["k"]), F.array().cast("array<string>")).cast(kind[a]) for a in arrays}
+    pairs = lambda c: F.coalesce(F.transform(f"_{c}", lambda x: F.struct(x["k"], x["v"])), F.array().cast("array<struct<k:string,v:string>>"))
+    made |= {m: F.map_from_entries(pairs(m)).cast(kind[m]) for m in maps}
+    return merged.select(*(made[c].alias(c) if c in made else F.col(key) if c == key else F.col(f"_first.{c}") for c in rows.columns))
 
 
 def fill_nulls(old: DataFrame, new: DataFrame, key: str, fields: Sequence[str], blank: Sequence[str] = ()) -> DataFrame:

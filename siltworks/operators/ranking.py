@@ -67,7 +67,7 @@ def renumbered(sizes: DataFrame, by: Sequence, size: str = "size", key: str = "c
 
 
 def round_robin(df: DataFrame, order: Sequence, shards: int, shard: int) -> DataFrame:
-    """The rows whose place in the order, modulo ``shards``, is the shard's (from 1)."""
+    """The rows whose place in the order, modulo ``shards``, is the shard's (from 1).  One task ranks them: it is for lists of jobs."""
     place = F.row_number().over(Window.orderBy(*_cols(order))) - 1
     return df.withColumn("_k", place).where(F.col("_k") % shards == shard - 1).drop("_k")
 

@@ -57,7 +57,11 @@ def newest_specs(paths: DataFrame, path: str = "path") -> DataFrame:
 
 
 def aimd(outcomes: DataFrame, key: Sequence[str], order: Sequence[str], ok: Column, start: float = 4, low: float = 1, high: float = 32) -> DataFrame:
-    """The cap of each key after its outcomes in order: one more for a good one, half for a bad one, within bounds."""
+    """The cap of each key after its outcomes in order: one more for a good one, half for a bad one, within bounds.
+
+    A fold has an order, so one key's outcomes (two small fields each) meet in
+    one task; streams keep the cap as state instead.
+    """
     seq = F.array_sort(F.collect_list(F.struct(*order, ok.alias("_ok"))))
     step = lambda cap, e: F.when(e["_ok"], F.least(F.lit(float(high)), cap + 1)).otherwise(F.greatest(F.lit(float(low)), cap * 0.5))
     return outcomes.groupBy(*key).agg(F.aggregate(seq, F.lit(float(start)), step).alias("cap"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import values
 from ..functions.text import without_shard
 from ..operators.ranking import viewer_order
 
@@ -71,8 +70,17 @@ def throughput(rows: DataFrame, by: str) -> DataFrame:
 
 
 def latencies(rows: DataFrame, ms: str, by: str) -> DataFrame:
-    """For each group the nearest-rank 50th, 95th and 99th percentiles."""
-    return rows.groupBy(by).agg(F.array_sort(F.collect_list(ms)).alias("_v")).select(by, *(values.nearest_rank("_v", p / 100).alias(f"p{p}") for p in (50, 95, 99)))
+    """For each group the nearest-rank 50th, 95th and 99th percentiles: the element at the rounded place p * (n - 1), halves to even.
+
+    Equal values are counted first, and only distinct ones are ranked, in a
+    window that can spill.
+    """
+    counts = rows.where(F.col(ms).isNotNull()).groupBy(by, ms).agg(F.count("*").alias("c"))
+    group = Window.partitionBy(by)
+    upto = group.orderBy(ms).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumns({"upto": F.sum("c").over(upto), "total": F.sum("c").over(group)})
+    place = lambda p: F.bround(F.lit(p / 100) * (F.col("total") - 1), 0)
+    return ranked.groupBy(by).agg(*(F.min(F.when(F.col("upto") > place(p), F.col(ms))).alias(f"p{p}") for p in (50, 95, 99)))
 
 
 def viewer_index(rows: DataFrame, group: str, fields: list[str]) -> DataFrame:

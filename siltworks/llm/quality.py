@@ -106,7 +106,7 @@ def _rules() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 50) -> tuple[float, list[dict[int, float]]]:
+def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 500) -> tuple[float, list[dict[int, float]]]:
     """Prior log odds of quality, and for each rule the log odds that each of its votes adds.
 
     Expectation-maximisation of a two-class model in which rules vote
@@ -136,7 +136,9 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 50) -> tuple[fl
             odds[j] = {v: math.log(share[1][v] / share[0][v]) for v in (-1, 0, 1)}
             odds[j][-1], odds[j][1] = min(odds[j][-1], 0.0), max(odds[j][1], 0.0)
             odds[j][0] = 0.0  # no vote, no say
-        good = {p: 1 / (1 + math.exp(-max(-50.0, min(50.0, prior + sum(odds[j][v] for j, v in enumerate(p)))))) for p in patterns}
+        before, good = good, {p: 1 / (1 + math.exp(-max(-50.0, min(50.0, prior + sum(odds[j][v] for j, v in enumerate(p)))))) for p in patterns}
+        if sum(c * abs(good[p] - before[p]) for p, c in patterns.items()) < 1e-6 * total:
+            break
     return prior, odds
 
 

@@ -9,7 +9,9 @@ terms' largest impacts, then against the sums of their largest impacts in each
 block of items; exact scores are made only for what may still reach the
 threshold, so no item at or over it is lost.  A retrieved pair counts as a leak
 if five-word shingles of both the item's question and its answer are in the
-passage.
+passage.  A question of fewer words, and an item of two to four words, has to
+be there as a sequence of its own length; a single word is a leak only where it
+is the whole passage.
 
 Items go by length into classes with cells of 64, 128, 256 ... words.  An index
 holds at most ``block_items`` items of at most ``block_words`` words together
@@ -49,8 +51,13 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return question, answer
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    return {tuple(words[i : i + _SHINGLE]) for i in range(max(1, len(words) - _SHINGLE + 1))} if words else set()
+def shingles(words: list[str], width: int = _SHINGLE) -> set[tuple[str, ...]]:
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def _width(part: list[str], item: list[str]) -> int:
+    """Words in a part's shingles: a short part is one sequence; an item that is a single word is no sequence."""
+    return min(_SHINGLE, len(part)) if len(item) > 1 else _SHINGLE
 
 
 class Index:
@@ -84,7 +91,7 @@ class Index:
             question, answer = question_and_answer(text)
             if len(answer) < _SHINGLE:  # too short to be told from chance: with what stands before it
                 answer = own[-_SHINGLE:]
-            self.parts.append((shingles(question), shingles(answer)))
+            self.parts.append(tuple((w := _width(part, own), shingles(part, w)) for part in (question, answer)))
 
     def search(self, texts: list[list[str]], least: float) -> Iterator[tuple[int, int, int, float]]:
         """(text, first word, item, score) of every passage and item that score ``least`` or more."""
@@ -138,8 +145,8 @@ class Index:
         """(text, item) to the best passage's (score, question overlap, answer overlap, first word)."""
         found: dict[tuple[int, int], tuple] = {}
         for text, start, i, score in self.search(texts, least):
-            here = shingles(texts[text][start : start + 2 * self.cell])
-            asked, answered = (len(part & here) / max(1, len(part)) for part in self.parts[i])
+            words = texts[text][start : start + 2 * self.cell]
+            asked, answered = (len(part & shingles(words, width)) / max(1, len(part)) for width, part in self.parts[i])
             if asked >= overlap and answered >= overlap:
                 found[text, i] = max(found.get((text, i), (-1.0,)), (score, asked, answered, -start))
         return found

@@ -199,3 +199,13 @@ def test_decontamination_on_odd_rows(spark, odd, none):
     assert decontam.find(none, items).count() == 0
     assert decontam.find(odd, items.limit(0)).count() == 0
     assert decontam.clean(odd, items.limit(0)).count() == odd.count()
+
+
+def test_short_parts_of_items_are_found(spark):
+    rng = random.Random(2)
+    fill = lambda: " ".join(f"f{rng.randrange(10**6)}" for _ in range(150))
+    texts = ["Who wrote Hamlet? The play is a work of William Shakespeare of Stratford", "Who wrote Macbeth? Shakespeare", "Why? because the sky scatters blue light more than red", "the capital of france is paris", "name three primes now", "seven words"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = spark.createDataFrame([*((i, f"{fill()} {t} {fill()}") for i, t in enumerate(texts)), (100, fill()), (101, "who wrote it? words seven, primes name three")], "doc_id long, text string")
+    assert {(r["id"], r["item_id"]) for r in decontam.find(docs, items).collect()} == {(i, i) for i in range(len(texts))}
+    assert {r["doc_id"] for r in decontam.clean(docs, items).collect()} == {100, 101}

@@ -2,7 +2,9 @@
 
 Every round is two joins and two aggregations over the edges; the count of
 rounds grows with the logarithm of the longest chain.  Only two numbers per
-round reach the driver.
+round reach the driver.  A node's least neighbour is written before it is
+joined back: both sides of the join are then plain shuffles, of which Spark can
+split a hub's rows.
 """
 
 from __future__ import annotations
@@ -13,17 +15,17 @@ from pyspark.sql import functions as F
 from .store import cut, discard
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = edges.union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")), least
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = cut(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     side = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return side.union(least)
+    return side.union(least), least
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -39,9 +41,13 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     state = _state(now)
     while True:
-        stars = cut(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        large, one = _large_star(now)
+        large = cut(large.distinct(), "edges")
+        small, two = _small_star(large)
+        stars = cut(small.distinct(), "edges")
         after = _state(stars)
-        discard(now)
+        for used in (now, one, large, two):
+            discard(used)
         now = stars
         if after == state:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -13,12 +13,14 @@
 4. A work item is compared exactly with numpy exclusive-or and bit counts, and
    gives a spanning forest of its links instead of all of them.
 5. Connected components over these links.
+
+What a join reads beside a key's many rows is written first, so that both sides
+are plain shuffles, of which Spark can split a hot key's rows.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,58 +29,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import cut
+from .store import cut, discard
 
 #: Shingles whose bits are added up at a time, which bounds memory for very long texts.
 _CHUNK = 65_536
 
 
-def _mixed(h: np.ndarray, unit: int) -> np.ndarray:
-    """Another 64 bits from each hash; the hash itself for unit 0."""
-    if not unit:
-        return h
-    x = h + np.uint64(unit * 0x9E3779B97F4A7C15 % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprint(text: bytes | None, width: int = 3, units: int = 1, seed: int = 42) -> np.ndarray:
-    """The fingerprint of a UTF-8 text, in units of 64 bits; all zero where there is no word."""
+def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
+    """The fingerprint of a UTF-8 text; zero where there is no word."""
     words = (text or b"").lower().split()
     if not words:
-        return np.zeros(units, np.uint64)
+        return 0
     if len(words) <= width:
         shingles: Iterator[bytes] = iter([b" ".join(words)])
         n = 1
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
         n = len(words) - width + 1
-    digest, ones = xxhash.xxh64_intdigest, np.zeros((units, 64), np.int64)
+    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     hashes = (digest(s, seed) for s in shingles)
     for at in range(0, n, _CHUNK):
         h = np.fromiter(hashes, "<u8", min(_CHUNK, n - at))
-        for u in range(units):
-            bits = np.unpackbits(_mixed(h, u).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones[u] += bits.sum(0, dtype=np.int64)
-    return np.packbits(2 * ones > n, axis=1, bitorder="little").view("<u8")[:, 0]
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, units: int = 1) -> DataFrame:
-    """``(id, node, bits)`` for each row: the units as signed longs, and one long for all of them (the unit, if it is one)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
-    names = [f"u{i}" for i in range(units)]
-    out = rows.select("id").schema
-    for n in names:
-        out = out.add(n, "long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """``(id, key, node)`` for each row: a hash of id and text, and the fingerprint as a signed long."""
+    rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("binary").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(x.as_py(), width, units) for x in b.column(1)], np.uint64).reshape(-1, units).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(fp[:, i]) for i in range(units))], ["id", *names])
+            fp = np.array([fingerprint(x.as_py(), width) for x in b.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], ["id", "key", "node"])
+
+    return rows.mapInArrow(run, rows.select("id", "key").schema.add("node", "long"))
 
-    found = rows.mapInArrow(run, out)
-    return found.select("id", (F.col("u0") if units == 1 else F.xxhash64(*names)).alias("node"), F.array(*names).alias("bits"))
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """A row's id and text as one long."""
+    return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
 def _blocks(parts: int) -> list[tuple[int, int]]:
@@ -93,10 +83,7 @@ def forest(x: np.ndarray, y: np.ndarray | None, radius: int) -> tuple[np.ndarray
     other = x if y is None else y
     near = np.empty((len(x), len(other)), bool)
     for i in range(0, len(x), 256):
-        apart = np.bitwise_count(x[i : i + 256, None, 0] ^ other[None, :, 0]).astype(np.uint16)
-        for u in range(1, x.shape[1]):
-            apart += np.bitwise_count(x[i : i + 256, None, u] ^ other[None, :, u])
-        near[i : i + 256] = apart <= radius
+        near[i : i + 256] = np.bitwise_count(x[i : i + 256, None] ^ other[None, :]) <= radius
     label = np.arange(n, dtype=np.int32)
     far = np.int32(n)
     rows = np.flatnonzero(near.any(1))
@@ -116,27 +103,42 @@ def forest(x: np.ndarray, y: np.ndarray | None, radius: int) -> tuple[np.ndarray
     return moved, label[moved]
 
 
-def _compare(radius: int):
-    """Sorted rows (item, side, node, units) to links; an item's rows stand together."""
+def lay_out(rows: DataFrame, bucket: list[str], level: Column, weight: Column, tile: int, reach: int) -> DataFrame:
+    """``rows`` (with ``node``) dealt to work items: columns ``item`` and ``side`` in place of the bucket's.
 
-    def links(item: np.ndarray, side: np.ndarray, node: np.ndarray, bits: np.ndarray) -> tuple[list, list]:
-        starts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
-        ends = np.r_[starts[1:], len(item)]
-        a, b = [], []
-        for s, e in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
-            if e - s == 2 and side[s] != 1:
-                if np.bitwise_count(bits[s] ^ bits[s + 1]).sum() <= radius:
-                    a.append(node[s : s + 1]), b.append(node[s + 1 : s + 2])
-                continue
-            if 2 in (side[s], side[e - 1]):  # a tile against itself
-                p, q = forest(bits[s:e], None, radius)
-            else:
-                k = s + int(np.searchsorted(side[s:e], 1))
-                if k in (s, e):
-                    continue
-                p, q = forest(bits[s:k], bits[k:e], radius)
-            a.append(node[s:e][p]), b.append(node[s:e][q])
-        return a, b
+    A bucket of at most ``tile`` weight is one item, all of side 2.  A larger
+    one is cut into tiles of one level and about so much weight each; an item
+    is a pair of tiles whose levels differ by at most ``reach`` (sides 0 and
+    1), or a tile by itself (side 2).
+    """
+    own = [c for c in rows.columns if c not in bucket]
+    rows = rows.withColumns({"_level": level.cast("int"), "_weight": weight})
+    sizes = rows.groupBy(*bucket, "_level").agg(F.sum("_weight").alias("_n"))
+    # hot buckets only: their lists of levels and tiles are together at most the weight of all rows / tile
+    hot = sizes.groupBy(*bucket).agg(F.sum("_n").alias("_all"), F.map_from_entries(F.collect_list(F.struct("_level", F.ceil(F.col("_n") / tile).cast("int")))).alias("_parts"))
+    hot = cut(hot.where(F.col("_all") > tile).select(*bucket, "_parts"), "hot")
+    part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("_parts")[F.col("_level")]).cast("int")
+    mine = F.struct(F.col("_level").alias("level"), part.alias("part"))
+    partners = F.flatten(
+        F.transform(
+            F.filter(F.map_entries("_parts"), lambda e: F.abs(e["key"] - F.col("_level")) <= reach),
+            lambda e: F.transform(F.sequence(F.lit(0), e["value"] - 1), lambda p: F.struct(e["key"].alias("level"), p.cast("int").alias("part"))),
+        )
+    )
+    alone = F.array(F.struct(F.lit(0).alias("level"), F.lit(0).alias("part")))
+    cold = F.col("_parts").isNull()
+    laid = rows.join(hot, bucket, "left").select(*own, *bucket, F.when(cold, alone[0]).otherwise(mine).alias("_own"), F.explode(F.when(cold, alone).otherwise(partners)).alias("_other"))
+    side = F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1)
+    item = F.xxhash64(*bucket, F.least("_own", "_other"), F.greatest("_own", "_other"))
+    return laid.select(item.alias("item"), side.cast("int").alias("side"), *own)
+
+
+def by_item(work: DataFrame, link: Callable[..., tuple[list, list]]) -> DataFrame:
+    """Links ``(a, b)``, by calling ``link(side, node, ...)`` with the columns of each item of ``work(item, side, node, ...)``.
+
+    A task holds one item and one Arrow batch.  A column of arrays comes as an
+    object array of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, ...]] = []
@@ -144,87 +146,78 @@ def _compare(radius: int):
         def flush() -> Iterator[pa.RecordBatch]:
             if not kept:
                 return
-            cols = [np.concatenate(c) for c in zip(*kept, strict=True)]
+            item, *cols = (np.concatenate(c) for c in zip(*kept, strict=True))
             kept.clear()
-            a, b = links(*cols)
+            starts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
+            a, b = [], []
+            for s, e in zip(starts, np.r_[starts[1:], len(item)], strict=True):
+                if e - s > 1:
+                    p, q = link(*(c[s:e] for c in cols))
+                    a.append(p), b.append(q)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            item, side, node, *units = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            bits = np.stack(units, axis=1).view(np.uint64)
-            last = int(np.searchsorted(item, item[-1]))  # the last item may go on in the next batch
+            cols = tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last item may go on in the next batch
             if last:
-                kept.append((item[:last], side[:last], node[:last], bits[:last]))
+                kept.append(tuple(c[:last] for c in cols))
                 yield from flush()
-            kept.append((item[last:], side[last:], node[last:], bits[last:]))
+            kept.append(tuple(c[last:] for c in cols))
         yield from flush()
 
-    return run
+    return work.repartition("item").sortWithinPartitions("item", "side", "node").mapInArrow(run, "a long, b long")
 
 
-def links(nodes: DataFrame, radius: int = 2, tile: int = 2048, units: int = 1, bands: int | None = None) -> DataFrame:
-    """Links ``(a, b)`` that connect just what chains of links of ``nodes(node, bits)`` connect.
+def links(nodes: DataFrame, radius: int = 2, tile: int = 2048) -> DataFrame:
+    """Links ``(a, b)`` that connect just what chains of links of ``nodes(node)`` connect; none is lost."""
 
-    Without ``bands`` a unit is cut into ``radius + 1`` blocks, so that no link
-    is lost.  For wide radii, ``bands`` blocks in each unit find a pair by any
-    of them: one that differs in a share p of all bits is missed with the
-    chance ``(1 - (1 - p) ** (64 / bands)) ** (bands * units)``.
-    """
+    def block(i: int, shift: int, bits: int) -> Column:
+        value = F.shiftrightunsigned("node", shift).bitwiseAND(F.lit((1 << bits) - 1))
+        return F.struct(F.lit(i).alias("block"), value.cast("long").alias("value"))
 
-    def block(unit: int, i: int, shift: int, bits: int) -> Column:
-        value = F.shiftrightunsigned(F.col("bits")[unit], shift).bitwiseAND(F.lit((1 << bits) - 1))
-        return F.struct(F.lit(100 * unit + i).alias("block"), value.cast("long").alias("value"))
-
-    blocks = [block(u, i, *r) for u in range(units) for i, r in enumerate(_blocks(bands or radius + 1))]
-    ones = sum((F.bit_count(F.col("bits")[u]) for u in range(units)), F.lit(0))
-    rows = nodes.select("node", "bits", ones.alias("ones"), F.explode(F.array(*blocks)).alias("k")).select("node", "bits", "ones", "k.block", "k.value")
-    sizes = rows.groupBy("block", "value", "ones").count()
-    # hot buckets only: at most blocks * nodes / tile of them, with a tile list each
-    hot = (
-        sizes.groupBy("block", "value")
-        .agg(F.sum("count").alias("n"), F.map_from_entries(F.collect_list(F.struct("ones", F.ceil(F.col("count") / tile).cast("int")))).alias("parts"))
-        .where(F.col("n") > tile)
-        .select("block", "value", "parts")
-    )
-    part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")[F.col("ones")]).cast("int")
-    own = F.struct(F.col("ones").cast("int").alias("ones"), part.alias("part"))
-    partners = F.flatten(
-        F.transform(
-            F.filter(F.map_entries("parts"), lambda e: F.abs(e["key"] - F.col("ones")) <= radius),
-            lambda e: F.transform(F.sequence(F.lit(0), e["value"] - 1), lambda p: F.struct(e["key"].cast("int").alias("ones"), p.cast("int").alias("part"))),
-        )
-    )
-    alone = F.array(F.struct(F.lit(0).alias("ones"), F.lit(0).alias("part")))
-    laid = rows.join(hot, ["block", "value"], "left").select(
-        "node", "bits", "block", "value", F.when(F.col("parts").isNull(), alone[0]).otherwise(own).alias("own"), F.explode(F.when(F.col("parts").isNull(), alone).otherwise(partners)).alias("other")
-    )
-    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    item = F.xxhash64("block", "value", F.least("own", "other"), F.greatest("own", "other"))
-    work = laid.select(item.alias("item"), side.cast("int").alias("side"), "node", *(F.col("bits")[u].alias(f"u{u}") for u in range(units)))
-    work = work.repartition("item").sortWithinPartitions("item", "side", "node")
-    return work.mapInArrow(_compare(radius), "a long, b long")
+    def link(side: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bits, k = node.view(np.uint64), int(np.searchsorted(side, 1))
+        if side[0] == 2:  # a tile by itself
+            p, q = forest(bits, None, radius)
+        elif k in (0, len(side)):
+            return node[:0], node[:0]
+        else:
+            p, q = forest(bits[:k], bits[k:], radius)
+        return node[p], node[q]
 
+    blocks = [block(i, *r) for i, r in enumerate(_blocks(radius + 1))]
+    rows = nodes.select("node", F.explode(F.array(*blocks)).alias("k")).select("node", "k.block", "k.value")
+    return by_item(lay_out(rows, ["block", "value"], F.bit_count("node"), F.lit(1), tile, radius), link)
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2, tile: int = 2048, units: int = 1, bands: int | None = None) -> DataFrame:
-    """``(id, fp, component)`` for each row of ``docs``; fp is the fingerprint, or a hash of it if it has several units.
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2, tile: int = 2048) -> DataFrame:
+    """``(id, key, node, root, component)`` for each row of ``docs``: see :func:`near_duplicates`; rows of one component have one root."""
+    marked = cut(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    nodes = marked.groupBy("node").agg(F.min("id").alias("least"))
+    found = components(links(marked.select("node").distinct(), radius, tile)).withColumnRenamed("node", "_n")
+    grouped = cut(nodes.join(found, nodes["node"] == found["_n"], "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "nodes")
+    discard(found)
+    least = cut(grouped.groupBy("root").agg(F.min("least").alias("component")), "least")
+    named = cut(grouped.join(least, "root").select("node", "root", "component"), "named")
+    discard(grouped), discard(least)
+    return marked.join(named, "node").select("id", "key", "node", "root", "component")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2, tile: int = 2048) -> DataFrame:
+    """``(id, fp, component)`` for each row of ``docs``; fp is the fingerprint.
 
     component is the least id among the rows reachable by links of at most
     ``radius`` differing bits.  A null text has no words: its fingerprint is 0,
     which links like any other.  Rows with a null id take part but never lend
     their id; a component of such rows alone has a null component.  Repeated
-    rows are kept.  An empty table gives an empty result.
+    rows are kept, each with its own fingerprint.  Of very long texts the bits
+    of 65,536 shingles are held at a time.  Other columns of ``docs`` are not
+    read, so their names can't clash.  An empty table gives an empty result.
     """
-    marked = cut(fingerprints(docs, id_col, text_col, width, units), "fingerprints")
-    nodes = marked.groupBy("node").agg(F.min("id").alias("least"))
-    found = components(links(marked.select("node", "bits").distinct(), radius, tile, units, bands)).withColumnRenamed("node", "_n")
-    grouped = nodes.join(found, nodes["node"] == found["_n"], "left").select("node", F.coalesce("root", "node").alias("root"), "least")
-    grouped = cut(grouped, "nodes")
-    least = grouped.groupBy("root").agg(F.min("least").alias("component"))
-    named = grouped.join(least, "root").select("node", "component")
-    return marked.select("id", "node").join(named, "node", "left").select("id", F.col("node").alias("fp"), "component")
+    return groups(docs, id_col, text_col, width, radius, tile).select("id", F.col("node").alias("fp"), "component")
 
 
 def hex_digits(fp: str = "fp") -> Column:
@@ -232,24 +225,24 @@ def hex_digits(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def radius_of(similarity: float, units: int, errors: float = 1.5) -> int:
-    """The bits in which fingerprints of sets of one size may differ if their Jaccard similarity is at least so much.
+def pick(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of ``docs`` for each root of ``grouped(id, key, root)``, that with the least id; columns as in ``docs``.
 
-    That is the expected number and ``errors`` standard errors, so that few
-    pairs at or above the similarity are lost; pairs a little below it link too.
+    A row is named by its id and text, so rows that share an id but not a text
+    are each judged by their own.  Of rows that repeat both one stays.  Rows
+    without an id can't be named as a group's document, so they all stay.  What
+    is joined to the texts are the rows that go, and the few that come twice.
     """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    n = 64 * units
-    return int(n * share + errors * math.sqrt(n * share * (1 - share)))
+    own = cut(grouped.where("id IS NOT NULL").groupBy("id", "key").agg(F.min("root").alias("root"), F.count("*").alias("n")), "rows")
+    stay = cut(own.groupBy("root").agg(F.min(F.struct("id", "key")).alias("own")).select("own.*", F.lit(True).alias("stays")), "stay")
+    own = own.join(stay, ["id", "key"], "left").where("stays IS NULL OR n > 1")
+    own = cut(own.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("stays").alias("_stays")), "marks")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_key"))
+    single = rows.join(own, ["_id", "_key"], "left_anti")  # rows without an id among them
+    repeated = rows.join(own.where("_stays"), ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    return single.select("_row.*").union(repeated.select("_row.*"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The documents of ``docs`` whose id is the least of their component; columns as in ``docs``.
-
-    Of rows that repeat the id that stays, one stays.  Rows without an id
-    can't be named as a group's document, so they all stay.
-    """
-    found = near_duplicates(docs, id_col, text_col, **kw)
-    stay = found.where(F.col("id") == F.col("component")).select(F.col("id").alias(id_col))
-    kept = docs.join(stay, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(docs.columns).union(docs.where(F.col(id_col).isNull()))
+    """One row of each component of near-duplicates, as :func:`pick` chooses it."""
+    return pick(docs, groups(docs, id_col, text_col, **kw), id_col, text_col)

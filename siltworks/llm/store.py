@@ -4,6 +4,9 @@ A table written here cuts lineage and outlives the executors that made it.
 The folder is the one named by ``spark.checkpoint.dir``.  Where that is unset,
 a local session gets a folder of its own, deleted at exit, and any other
 session uses its warehouse.
+
+A query returns a frame that reads such tables, so they stay until the caller
+has used it and says :func:`clear`.
 """
 
 from __future__ import annotations
@@ -12,10 +15,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: Tables made by this process.
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,16 +42,40 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/siltworks-{name}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _made:
+        _made.remove(path)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _made.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._siltworks_path = path
+    return out
 
 
 def discard(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`cut` that nothing reads any more."""
-    sc = df.sparkSession.sparkContext
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete a table made by :func:`cut` that nothing reads any more; other frames stay."""
+    if path := getattr(df, "_siltworks_path", None):
+        _delete(df.sparkSession, path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``cut(make(), name)``; the tables that ``make`` has written on its way are deleted."""
+    before = set(_made)
+    out = cut(make(), name)
+    for path in [p for p in _made if p not in before and p != out._siltworks_path]:
+        _delete(spark, path)
+    return out
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this process has made and not deleted; results that read them must have been used."""
+    for path in list(_made):
+        _delete(spark, path)

@@ -40,34 +40,44 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def trigrams(text: str) -> np.ndarray:
-    """Bucket of each byte trigram of a text; at least one."""
-    b = np.frombuffer(b" " + text.lower().encode().translate(_LETTERS) + b"  ", np.uint8).astype(np.uint32)
+def letters_of(text: str) -> np.ndarray:
+    """A text's bytes: lower-cased letters, all else a space, with a space before and two after."""
+    return np.frombuffer(b" " + text.lower().encode().translate(_LETTERS) + b"  ", np.uint8)
+
+
+def trigrams(b: np.ndarray) -> np.ndarray:
+    """Bucket of each trigram of bytes."""
+    b = b.astype(np.uint32)
     code = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
     return (code * np.uint32(2654435761)) >> np.uint32(32 - _BITS)
 
 
+def blocks(b: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Bytes in blocks of ``size`` trigrams: each carries two bytes over, so the blocks' trigrams are those of the whole."""
+    return (b[at : at + size + 2] for at in range(0, len(b) - 2, size))
+
+
 def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and shares of a text's trigrams, added up in blocks."""
     total = np.zeros(1 << _BITS, np.int64)
-    for at in range(0, max(1, len(text)), 1 << 20):
-        total += np.bincount(trigrams(text[at : at + (1 << 20)]), minlength=1 << _BITS)
+    for part in blocks(letters_of(text), 1 << 20):
+        total += np.bincount(trigrams(part), minlength=1 << _BITS)
     where = np.flatnonzero(total)
     return where, total[where] / total.sum()
 
 
-def svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 20) -> np.ndarray:
-    """Weights of a linear support vector machine on rows of x, with y of +1 and -1."""
-    norm = np.einsum("ij,ij->i", x, x) + 1e-12
+def svm(where: list[np.ndarray], x: list[np.ndarray], y: np.ndarray, size: int, c: float = 1.0, epochs: int = 20) -> np.ndarray:
+    """Weights of a linear support vector machine on rows of values x at places where, with y of +1 and -1."""
+    norm = np.array([float(v @ v) for v in x]) + 1e-12
     cost = c * np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
-    w, alpha, rng = np.zeros(x.shape[1], np.float32), np.zeros(len(y)), np.random.default_rng(0)
+    w, alpha, rng = np.zeros(size, np.float32), np.zeros(len(y)), np.random.default_rng(0)
     for _ in range(epochs):
         most = 0.0
         for i in rng.permutation(len(y)):
-            slope = y[i] * float(x[i] @ w) - 1
+            slope = y[i] * float(x[i] @ w[where[i]]) - 1
             now = min(max(alpha[i] - slope / norm[i], 0.0), cost[i])
             if abs(step := now - alpha[i]) > 1e-9:
-                w += np.float32(step * y[i]) * x[i]
+                w[where[i]] += np.float32(step * y[i]) * x[i]
                 alpha[i], most = now, max(most, abs(step) / cost[i])
         if most < 1e-3:
             break
@@ -81,37 +91,39 @@ class Model:
         """rows: language, buckets and shares of each labelled text."""
         langs = sorted({r[0] for r in rows})
         self.families = {f: [x for x in langs if family_of(x) == f] for f in sorted({family_of(x) for x in langs})}
-        x = np.zeros((len(rows), (1 << _BITS) + 1), np.float32)
-        for i, (_, where, share) in enumerate(rows):
-            x[i, where] = share
-        scale = 1 / (x.std(0) + 1e-4) if rows else np.ones(x.shape[1], np.float32)
-        x *= scale
-        unit = float(np.sqrt((x * x).sum(1)).mean()) if rows else 1.0
-        x /= unit or 1.0
-        x[:, -1] = 1
+        size = 1 << _BITS
+        total, squares = np.zeros(size), np.zeros(size)
+        for _, where, share in rows:
+            total[where] += share
+            squares[where] += share.astype(np.float64) ** 2
+        n = max(1, len(rows))
+        scale = (1 / (np.sqrt(np.maximum(squares / n - (total / n) ** 2, 0)) + 1e-4)).astype(np.float32)
+        unit = float(np.mean([np.linalg.norm(share * scale[where]) for _, where, share in rows])) if rows else 1.0
+        at = [np.append(where, size) for _, where, _ in rows]
+        x = [np.append(share * scale[where] / (unit or 1.0), 1).astype(np.float32) for _, where, share in rows]  # with a one for the bias
         lang = np.array([r[0] for r in rows])
         family = np.array([family_of(r[0]) for r in rows])
         columns = []
         if len(self.families) > 1:
             names = list(self.families)
             for f in names if len(names) > 2 else names[:1]:
-                columns.append(svm(x, np.where(family == f, 1.0, -1.0)))
+                columns.append(svm(at, x, np.where(family == f, 1.0, -1.0), size + 1))
         self.pairs: dict[str, list[tuple[int, int, int]]] = {}
         for f, members in self.families.items():
             self.pairs[f] = []
             for (i, a), (j, b) in combinations(enumerate(members), 2):
-                own = (lang == a) | (lang == b)
+                own = np.flatnonzero((lang == a) | (lang == b))
                 self.pairs[f].append((i, j, len(columns)))
-                columns.append(svm(x[own], np.where(lang[own] == a, 1.0, -1.0)))
-        w = np.array(columns, np.float32).reshape(-1, x.shape[1]).T
+                columns.append(svm([at[k] for k in own], [x[k] for k in own], np.where(lang[own] == a, 1.0, -1.0), size + 1))
+        w = np.array(columns, np.float32).reshape(-1, size + 1).T
         self.bias = w[-1].copy()
-        self.weights = np.ascontiguousarray(w[:-1] * (scale[:-1, None] / (unit or 1.0)))
+        self.weights = np.ascontiguousarray(w[:-1] * (scale[:, None] / (unit or 1.0)))
 
-    def margins(self, texts: list[str]) -> np.ndarray:
-        """The machines' outputs for each text; texts are joined and long ones cut for the lookup only."""
+    def margins(self, texts: list[str], block: int | None = None) -> np.ndarray:
+        """The machines' outputs for each text; texts are joined, and long ones cut into blocks of trigrams, for the lookup only."""
         k = self.weights.shape[1]
         sums, sizes = np.zeros((len(texts), k)), np.zeros(len(texts))
-        block = max(1 << 16, _WORK // max(1, k))
+        block = block or max(1 << 16, _WORK // max(1, k))
         pending: list[np.ndarray] = []
         owners: list[int] = []
 
@@ -124,8 +136,8 @@ class Model:
 
         held = 0
         for i, text in enumerate(texts):
-            for at in range(0, max(1, len(text)), block):
-                pending.append(trigrams(text[at : at + block]))
+            for part in blocks(letters_of(text), block):
+                pending.append(trigrams(part))
                 owners.append(i)
                 sizes[i] += len(pending[-1])
                 held += len(pending[-1])
@@ -168,7 +180,8 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str =
 
     The rows are drawn by a hash of their id, with a rate for each language, so
     the draw is the same however the table is split.  Trigram counts are made
-    on the executors, from whole texts; the driver gets at most 64 KB a row.
+    on the executors, from whole texts; the driver gets at most 64 KB a row,
+    ``per_language`` times as much a language, and keeps them sparse.
     """
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = dict(rows.groupBy(lang_col).count().collect())
@@ -195,7 +208,10 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """``(id, lang_pred, score)`` for each row, from its whole text alone.
 
     A null text, one without a letter, and any text under a model that saw no
-    rows, gives ``und`` with score 0.
+    rows, gives ``und`` with score 0.  Repeated rows get equal answers; a tie of
+    votes goes to the larger sum of margins, then to the first in the alphabet.
+    Long texts are read whole, in blocks; other columns are not read.  An empty
+    table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 

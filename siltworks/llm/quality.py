@@ -36,8 +36,16 @@ def _removed(text: Column, characters: str) -> Column:
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words in 8-word windows found twice or more; windows are told apart by a hash of their words."""
-    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - (_WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, F.lit(_WINDOW))))
+    """Words in 8-word windows found twice or more; windows are told apart by a hash of their words.
+
+    Words are hashed once; hashes of two, four and eight words are each made of two of the last kind.
+    """
+
+    def doubled(h: Column, step: int) -> Column:
+        n = F.size(h) - step
+        return F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(step + 1), n), lambda a, b: F.xxhash64(a, b))
+
+    single = F.transform(words, lambda w: F.xxhash64(w))
 
     def covered(h: Column) -> Column:
         ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -50,7 +58,8 @@ def _repeat_words(words: Column) -> Column:
 
         return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_let(ordered, again))
 
-    return F.when(F.size(words) > _WINDOW, _let(hashes, covered)).otherwise(F.lit(0))
+    hashes = _let(single, lambda h: _let(doubled(h, 1), lambda h2: _let(doubled(h2, 2), lambda h4: _let(doubled(h4, 4), covered))))
+    return F.when(F.size(words) > _WINDOW, hashes).otherwise(F.lit(0))
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -89,7 +98,6 @@ def _rules() -> dict[str, Column]:
     words, lines = F.nullif(F.col("n_words"), F.lit(0)), F.nullif(F.col("n_lines"), F.lit(0))
     word = F.col("word_chars") / words
     symbols, marks, repeats = (F.col(c) / words for c in ("n_symbols", "n_marks", "n_repeat_words"))
-    share, by_line = F.col("n_symbols") / F.nullif(F.col("word_chars"), F.lit(0)), F.col("n_symbols") / lines
     doubled = F.col("n_dup_lines") / lines
     upper, letters = (F.col(c) / F.nullif(F.col("word_chars"), F.lit(0)) for c in ("n_upper", "n_letters"))
     return {
@@ -101,8 +109,6 @@ def _rules() -> dict[str, Column]:
         "repeats": _vote(repeats, repeats > 0.2, repeats < 0.05),
         "case": _vote(upper, upper > 0.3, upper < 0.15),
         "letters": _vote(letters, letters < 0.8, letters > 0.9),
-        "symbol_share": _vote(share, share > 0.04, share < 0.01),
-        "symbols_by_line": _vote(by_line, by_line > 8, by_line < 2),
     }
 
 

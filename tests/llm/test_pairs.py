@@ -1,13 +1,15 @@
 """Operators over groups of documents, against plain versions: SimHash, substrings, decontamination."""
 
+import math
 import random
+import re
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontam, graph, queries, simhash, substring
+from siltworks.llm import copies, decontam, graph, queries, simhash, substring
 
 
 def plain_fingerprint(text):
@@ -68,7 +70,7 @@ def test_tiles_lose_no_link(spark, tile):
         fps.add(base ^ sum(1 << (43 + rng.randrange(20)) for _ in range(rng.randrange(1, 6))))
     fps |= {rng.getrandbits(64) for _ in range(100)}
     fps = sorted(fps)
-    nodes = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)), [int(np.uint64(f).astype(np.int64))]) for f in fps], "node long, bits array<long>")
+    nodes = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "node long")
     links = simhash.links(nodes, 2, tile)
     found = {r["node"] % (1 << 64): r["root"] % (1 << 64) for r in graph.components(links).collect()}
     want = plain_components(fps, list(range(len(fps))))
@@ -79,26 +81,13 @@ def test_tiles_lose_no_link(spark, tile):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
-def test_similarity_of_fingerprints_finds_near_copies(spark):
-    rng = random.Random(8)
-    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
-    rows, near = [], set()
-    for g in range(120):
-        words = [word() for _ in range(rng.randrange(150, 600))]
-        rows.append((3 * g, " ".join(words)))
-        edited = list(words)
-        for _ in range(len(words) // 100):  # about one word in a hundred: 0.9 of five-word shingles in common
-            edited[rng.randrange(len(words))] = word()
-        rows.append((3 * g + 1, " ".join(edited)))
-        near.add(3 * g + 1)
-        rows.append((3 * g + 2, " ".join([*words[: len(words) // 3], *(word() for _ in range(len(words)))])))  # a third in common: no copy
-    radius = simhash.radius_of(0.8, 4)
-    assert radius == 47
-    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=5, units=4, bands=5, radius=radius).collect()
-    moved = {r["id"] for r in got if r["id"] != r["component"]}
-    assert not moved - near
-    assert len(near - moved) <= 2
-    assert all(r["component"] == r["id"] - 1 for r in got if r["id"] in moved)
+@pytest.mark.parametrize("pick", [simhash.one_of_each, copies.one_of_each])
+def test_rows_that_share_an_id_are_judged_by_their_text(spark, pick):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, b), (5, b), (5, a), (9, c), (9, c), (None, a), (None, a)]
+    for parts in (1, 3):
+        got = pick(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        assert sorted(map(str, got)) == sorted(map(str, spark.createDataFrame([(3, b), (5, a), (9, c), (None, a), (None, a)], "doc_id long, text string").collect()))
 
 
 def test_components_of_long_chains_and_stars(spark):
@@ -145,19 +134,44 @@ def test_substrings_on_odd_rows(odd, none):
     assert substring.repeats(none).count() == 0
 
 
+def in_words(text):
+    return re.findall(r"\w+", (text or "").lower())
+
+
+def share_of(part, words):
+    """The share of a part's five-word sequences (a shorter part: of itself) that words have."""
+    n = min(5, len(part))
+    own = {" ".join(part[i : i + n]) for i in range(len(part) - n + 1)}
+    return len(own & {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)}) / len(own)
+
+
 def plain_leaks(docs, items, overlap=0.8):
+    """Every item against every window, with nothing of the operator's."""
     out = set()
+    docs = [(i, in_words(t)) for i, t in docs]
     for key, text in items:
-        question, answer = (decontam.shingles(p) for p in decontam.question_and_answer(text or ""))
-        words = decontam.words_of(text)
-        if len(decontam.question_and_answer(text or "")[1]) < 5:
-            answer = decontam.shingles(words[-5:])
-        for i, t in docs:
-            w = decontam.words_of(t)
+        own = in_words(text)
+        if not own:
+            continue
+        ask, mark, reply = text.partition("?")
+        question, answer = in_words(ask), in_words(reply)
+        if not (mark and question and answer):
+            k = math.ceil(2 * len(own) / 3)
+            question, answer = own[:k], own[k:]
+        if len(answer) < 5:
+            answer = own[-5:]
+        for i, w in docs:
+            if len(own) == 1:
+                if w == own:
+                    out.add((i, key))
+                continue
+            if not set(question) & set(w):
+                continue
             for at in range(0, max(1, len(w)), 16):
-                here = decontam.shingles(w[at : at + 2 * max(64, len(words))])
-                if words and len(question & here) >= overlap * len(question) and len(answer & here) >= overlap * len(answer):
+                here = w[at : at + 2 * max(64, len(own))]
+                if share_of(question, here) >= overlap and share_of(answer, here) >= overlap:
                     out.add((i, key))
+                    break
     return out
 
 
@@ -175,20 +189,32 @@ def test_no_passage_over_the_threshold_is_lost():
     texts = [rng.choices(vocabulary, k=rng.randrange(0, 700)) for _ in range(40)]
     for t in texts[::3]:
         t[len(t) // 2 : len(t) // 2] = rng.choice(items)[1].split()
-    index = decontam.Index(items, 64)
+    index = decontam.Index(items, 64, decontam.Statistics.of([t for _, t in items]))
     got = {(a, b, i): s for a, b, i, s in index.search(texts, 0.35)}
+    # plain BM25 over whole items, with the share of an item's own score
+    own = [t.split() for _, t in items]
+    mean = sum(map(len, own)) / len(own)
+    idf = {w: math.log(1 + (len(own) - n + 0.5) / (n + 0.5)) for w in vocabulary for n in [sum(w in o for o in own)]}
     want = {}
-    for a, t in enumerate(texts):
-        for p in range(max(1, -(-len(t) // 64) - 1)):
-            held = {index.vocabulary[w] for w in t[p * 64 : p * 64 + 128] if w in index.vocabulary}
-            for i in range(len(items)):
-                score = sum(float(index.impacts[k]) for x in held for k in range(index.offsets[x], index.offsets[x] + index.sizes[x]) if index.items[k] == i)
+    for i, o in enumerate(own):
+        impact = {w: idf[w] * o.count(w) * 2.2 / (o.count(w) + 1.2 * (0.25 + 0.75 * len(o) / mean)) for w in set(o)}
+        for a, t in enumerate(texts):
+            for p in range(max(1, -(-len(t) // 64) - 1)):
+                score = sum(impact.get(w, 0) for w in set(t[p * 64 : p * 64 + 128])) / sum(impact.values())
                 if score >= 0.35:
                     want[a, p * 64, i] = score
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
+def test_scores_do_not_depend_on_the_blocks_of_the_benchmark(spark, sf):
+    docs, items = queries.table(spark, sf, "documents"), queries.table(spark, sf, "benchmark")
+    found = [sorted((r["id"], r["item_id"], round(r["score"], 9), r["first_word"]) for r in decontam.find(docs, items, block_items=n).collect()) for n in (10_000, 17, 5)]
+    assert found[0] == found[1] == found[2] and found[0]
+    left = [sorted(r["doc_id"] for r in decontam.clean(docs, items, block_items=n).collect()) for n in (10_000, 17)]
+    assert left[0] == left[1] and set(left[0]) == {r["doc_id"] for r in docs.collect()} - {i for i, *_ in found[0]}
+
+
 def test_decontamination_on_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, "What will the quick brown fox do? jumps over the lazy dog while many"), (2, None), (3, ""), (4, " ".join(f"w{i}x{i}" for i in range(200))), (1, "What")], "item_id long, text string")
     found = {(r["id"], r["item_id"]) for r in decontam.find(odd, items).collect()}
@@ -196,6 +222,9 @@ def test_decontamination_on_odd_rows(spark, odd, none):
     assert found == plain_leaks(rows, [tuple(r) for r in items.collect()])
     kept = decontam.clean(odd, items)
     assert kept.columns == odd.columns and kept.count() == odd.where(~F.col("doc_id").isin([i for i, _ in found if i is not None]) | F.col("doc_id").isNull()).count()
+    clash = odd.select("*", *(F.lit(1).alias(c) for c in ("id", "item_id", "score", "key", "word", "n")))
+    assert {(r["id"], r["item_id"]) for r in decontam.find(clash, items.withColumn("key", F.lit(1))).collect()} == found
+    assert decontam.clean(clash, items).columns == clash.columns
     assert decontam.find(none, items).count() == 0
     assert decontam.find(odd, items.limit(0)).count() == 0
     assert decontam.clean(odd, items.limit(0)).count() == odd.count()

@@ -172,6 +172,20 @@ def test_sharding_subdivides_a_hot_group(spark):
     assert max(sizes) <= 1.03 * min(sizes)
 
 
+@pytest.mark.parametrize("rows", [[(1, "x" * 300)] * 2000 + [(2, "y " * 30)] * 200 + [(None, None)] * 50 + [(i, f"t{i}" * (i % 40)) for i in range(500)], [(i, "g" * 200_000 + str(i)) for i in range(3)] + [(i, str(i)) for i in range(50)], [(1, "a")]])
+def test_sharding_subdivides_repeated_rows_and_giants(spark, rows):
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows_per_range=100).collect()
+    sizes = check_shards(got, rows)
+    assert max(sizes) - min(sizes) <= 2 * max(len(t or "") + 1 for _, t in rows) + 0.04 * sum(sizes) / 8
+    where = collections.defaultdict(set)
+    for r in got:
+        where[r["text_crc32"], r["size"]].add(r["shard"])
+    bytes_of = collections.Counter()
+    for _, t in rows:
+        bytes_of[zlib.crc32((t or "").encode()), len(t or "") + 1] += len(t or "") + 1
+    assert all(len(s) == 1 for k, s in where.items() if bytes_of[k] <= 0.01 * sum(sizes) / 8)
+
+
 def test_chat_collapse(spark, sf):
     turns = [
         *[(1, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(4)],
@@ -230,6 +244,34 @@ def test_packing(spark, sf, odd, none):
     assert packing.pack(none, PATH).count() == 0
 
 
+def test_packing_gives_ids_and_pads_no_short_texts(spark):
+    rows = [(i, "a b c d e f g h i j") for i in range(5000)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), PATH, with_ids=True).collect()
+    assert check_pieces(got, rows) == 0
+    tok = Tokenizer.from_file(PATH)
+    want = [*tok.encode(rows[0][1], add_special_tokens=False).ids, 2]
+    by = collections.defaultdict(list)
+    for p in got:
+        assert zlib.crc32(struct.pack(f"<{len(p['ids'])}I", *p["ids"])) == p["ids_crc32"] and len(p["ids"]) == p["length"]
+        by[p["id"]].append(p)
+    assert all([x for p in sorted(own, key=lambda p: p["start"]) for x in p["ids"]] == want for own in by.values())
+
+
+def test_a_piece_holds_its_own_ids_alone():
+    packer = packing.Packer(0, 64, 64, 64, 256)
+    for i in range(200):
+        packer.add(i, struct.pack("<1000I", *range(1000)))
+    assert sum(len(p[1]) for p in packer.pool + packer.open) <= 256 * 64 * 4
+
+
+def test_other_tokenizers_take_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, ids = Tokenizer.from_file(path), packing.word_ids(path)
+    for text in ("Hello  World\n again", "", "a b", " É x"):
+        want = tok.encode(text, add_special_tokens=False).ids
+        assert ids(text.encode()) == struct.pack(f"<{len(want)}I", *want)
+
+
 def test_packing_keeps_all_three_limits(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choices("abcdefghij", k=rng.randrange(0, 60))), " ".join(rng.choices("abcdefghij", k=rng.randrange(0, 60)))) for i in range(800)]
@@ -267,6 +309,42 @@ def test_language(spark, odd, none):
     assert langid.identify(none, model).count() == 0
 
 
+def test_language_of_each_text_by_itself(spark, sf):
+    """Every prediction again, from one text's trigrams counted in a dictionary."""
+    docs = queries.table(spark, sf, "documents")
+    model = langid.fit(docs, ~langid.held_out())
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    names = list(model.families)
+    for r in queries.op9_langid(spark, sf).collect():
+        t = text[r["doc_id"]]
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        if not any(c.isalpha() for c in t or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        data = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in f" {t.lower()}  ".encode())
+        found = collections.Counter((int.from_bytes(data[i : i + 3], "big") * 2654435761 % 2**32) >> 19 for i in range(len(data) - 2))
+        margin = sum(n * model.weights[b].astype(float) for b, n in found.items()) / sum(found.values()) + model.bias
+        family = names[0]
+        if len(names) > 1:
+            own = margin[: len(names)] if len(names) > 2 else [margin[0], -margin[0]]
+            family = names[int(np.argmax(own))]
+        wins = collections.Counter({x: 0.0 for x in model.families[family]})
+        for i, j, c in model.pairs[family]:
+            a, b = (model.families[family][k] for k in ((i, j) if margin[c] >= 0 else (j, i)))
+            wins[a] += 1 + abs(margin[c]) * 1e-6
+            wins[b] -= abs(margin[c]) * 1e-6
+        assert r["lang_pred"] == max(sorted(wins), key=wins.get)
+
+
+def test_long_texts_score_alike_in_any_block(spark, sf):
+    model = langid.fit(queries.table(spark, sf, "documents"), F.lit(True))
+    texts = ["", "é" * 1001, "der Fluss läuft, über die Straße " * 3000, "a" * 65_537]
+    whole = model.margins(texts, 1 << 22)
+    for block in (97, 1000, 1 << 16):
+        assert np.allclose(model.margins(texts, block), whole, atol=1e-12)
+    assert langid.counts(texts[2])[1].sum() == pytest.approx(1)
+
+
 def plain_pages(rows, least=0):
     first, out = {}, []
     for i, h in rows:

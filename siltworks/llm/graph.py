@@ -2,30 +2,35 @@
 
 Every round is two joins and two aggregations over the edges; the count of
 rounds grows with the logarithm of the longest chain.  Only two numbers per
-round reach the driver.  A node's least neighbour is written before it is
-joined back: both sides of the join are then plain shuffles, of which Spark can
-split a hub's rows.
+round reach the driver.  Where there are many edges, a node's least neighbour is
+written before it is joined back: both sides of the join are then plain
+shuffles, of which Spark can split a hub's rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import cut, discard
 
+#: Edges from which on a node's least neighbour is written before it is joined back.
+_MANY = 1_000_000
+
 
-def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _large_star(edges: DataFrame, own: Callable[[DataFrame], DataFrame]) -> DataFrame:
     both = edges.union(edges.select("b", "a"))
-    least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")), least
+    least = own(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _small_star(edges: DataFrame, own: Callable[[DataFrame], DataFrame]) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = cut(down.groupBy("a").agg(F.min("b").alias("m")), "least")
+    least = own(down.groupBy("a").agg(F.min("b").alias("m")))
     side = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return side.union(least), least
+    return side.union(least)
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -41,13 +46,22 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     state = _state(now)
     while True:
-        large, one = _large_star(now)
-        large = cut(large.distinct(), "edges")
-        small, two = _small_star(large)
-        stars = cut(small.distinct(), "edges")
+        used = [now]
+
+        def own(least: DataFrame, many: bool = state[0] > _MANY, used: list[DataFrame] = used) -> DataFrame:
+            if many:
+                used.append(cut(least, "least"))
+                return used[-1]
+            return least
+
+        large = _large_star(now, own).distinct()
+        if state[0] > _MANY:
+            large = cut(large, "edges")
+            used.append(large)
+        stars = cut(_small_star(large, own).distinct(), "edges")
         after = _state(stars)
-        for used in (now, one, large, two):
-            discard(used)
+        for x in used:
+            discard(x)
         now = stars
         if after == state:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

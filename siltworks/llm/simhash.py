@@ -116,7 +116,8 @@ def lay_out(rows: DataFrame, bucket: list[str], level: Column, weight: Column, t
     sizes = rows.groupBy(*bucket, "_level").agg(F.sum("_weight").alias("_n"))
     # hot buckets only: their lists of levels and tiles are together at most the weight of all rows / tile
     hot = sizes.groupBy(*bucket).agg(F.sum("_n").alias("_all"), F.map_from_entries(F.collect_list(F.struct("_level", F.ceil(F.col("_n") / tile).cast("int")))).alias("_parts"))
-    hot = cut(hot.where(F.col("_all") > tile).select(*bucket, "_parts"), "hot")
+    hot = hot.where(F.col("_all") > tile).select(*bucket, "_parts")
+    hot = cut(hot, "hot")
     part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("_parts")[F.col("_level")]).cast("int")
     mine = F.struct(F.col("_level").alias("level"), part.alias("part"))
     partners = F.flatten(
@@ -235,11 +236,12 @@ def pick(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) -> Dat
     """
     own = cut(grouped.where("id IS NOT NULL").groupBy("id", "key").agg(F.min("root").alias("root"), F.count("*").alias("n")), "rows")
     stay = cut(own.groupBy("root").agg(F.min(F.struct("id", "key")).alias("own")).select("own.*", F.lit(True).alias("stays")), "stay")
-    own = own.join(stay, ["id", "key"], "left").where("stays IS NULL OR n > 1")
-    own = cut(own.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("stays").alias("_stays")), "marks")
+    marks = own.join(stay, ["id", "key"], "left").where("stays IS NULL OR n > 1")
+    marks = cut(marks.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("stays").alias("_stays")), "marks")
+    discard(own), discard(stay), discard(grouped)
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_key"))
-    single = rows.join(own, ["_id", "_key"], "left_anti")  # rows without an id among them
-    repeated = rows.join(own.where("_stays"), ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    single = rows.join(marks, ["_id", "_key"], "left_anti")  # rows without an id among them
+    repeated = rows.join(marks.where("_stays"), ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
     return single.select("_row.*").union(repeated.select("_row.*"))
 
 

@@ -4,20 +4,24 @@ Every version of every file is a blob, named by the SHA-256 of its text.  The
 ledger holds the (blob, rule, version) triples that were scanned.  A scan works
 on the unseen ones alone: equal texts are scanned once, however many paths hold
 them, and a new version of a rule scans old blobs for that rule only.  Findings
-are per blob, and join back to all paths.
+are per blob, are kept with the triples, and join back to all paths.
 
 All of it is DataFrame operations.  Offsets come from splitting a text at a
 rule's matches: a running sum over the lengths of pieces and matches, in a
-window over one blob and rule.
+window over one blob and rule.  Findings are written before they are joined
+back, so that Spark can split the paths of a blob that many share, or send the
+findings to all tasks where their files are small.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .store import cut, new_path
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -43,13 +47,11 @@ BASE = (
 
 
 def unseen(docs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None = None, text_col: str = "text") -> DataFrame:
-    """``(blob, text, rules)``: each blob with rules that the ledger (blob, rule, version) lacks, once.  A null text is empty."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.sha2(text, 256).alias("blob"), text.alias("text"))
+    """``(blob, text, rules)``: each blob with the rules (in their versions) that ``ledger(blob, rules)`` lacks, once.  A null text is empty."""
+    rows = docs.select(_blob(text_col).alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     wanted = F.array(*(F.lit(r.key) for r in rules))
     if ledger is not None:
-        seen = ledger.select("blob", F.concat_ws("@", "rule", "version").alias("key")).where(F.col("key").isin([r.key for r in rules]))
-        seen = seen.groupBy("blob").agg(F.collect_set("key").alias("seen"))
+        seen = ledger.groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("seen"))
         rows = rows.join(seen, "blob", "left").select("blob", "text", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("rules"))
         rows = rows.where(F.size("rules") > 0)
     else:
@@ -72,46 +74,81 @@ def _matches(rule: Rule, number: int) -> Column:
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = BASE) -> DataFrame:
-    """``(blob, rule, version, start, end)`` of every finding; offsets are code points, the end exclusive."""
-    rows = blobs.select("blob", F.inline(F.concat(*(_matches(r, k) for k, r in enumerate(rules)))))
+    """``(blob, rules, spans)`` of every blob: what it was scanned for, and ``struct(start, end, rule)`` of every finding.
+
+    Offsets are code points, the end exclusive; ``rule`` has its version.
+    """
+    rows = blobs.select("blob", "rules", F.inline_outer(F.concat(*(_matches(r, k) for k, r in enumerate(rules)))))
     so_far = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("end", F.sum(F.col("gap") + F.coalesce("size", F.lit(0))).over(so_far)).where("stays")
-    name, version = (F.array(*(F.lit(x) for x in xs))[F.col("rule")] for xs in ([r.name for r in rules], [r.version for r in rules]))
-    return rows.select("blob", F.col("rule").alias("number"), name.alias("rule"), version.alias("version"), (F.col("end") - F.col("size")).alias("start"), "end")
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.coalesce("size", F.lit(0))).over(so_far))
+    key = F.array(*(F.lit(r.key) for r in rules))[F.col("rule")]
+    span = F.struct((F.col("end") - F.col("size")).alias("start"), "end", key.alias("rule"))
+    return rows.groupBy("blob").agg(F.first("rules").alias("rules"), F.collect_list(F.when(F.col("stays"), span)).alias("spans"))
+
+
+def by_blob(scanned: DataFrame, rules: tuple[Rule, ...] = BASE) -> DataFrame:
+    """``(blob, n_<rule>, found)`` of each blob with findings by ``rules``: counts, and spans in order of start, then rule."""
+    keys, names = (F.array(*(F.lit(x) for x in xs)) for xs in ([r.key for r in rules], [r.name for r in rules]))
+    rows = scanned.where(F.size("spans") > 0).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    place = lambda s: F.array_position(keys, s["rule"]).cast("int")
+    placed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), place(s).alias("number"), s["end"].alias("end")))
+    ordered = F.array_sort(F.filter(placed, lambda s: s["number"] > 0))
+    found = F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), s["number"].alias("number"), s["end"].alias("end"), F.get(names, s["number"] - 1).alias("rule")))
+    rows = rows.select("blob", found.alias("found")).where(F.size("found") > 0)
+    of_rule = F.transform("found", lambda s: s["rule"])
+    return rows.select("blob", *((F.size("found") - F.size(F.array_remove(of_rule, r.name))).cast("long").alias(f"n_{r.name}") for r in rules), "found")
+
+
+class Ledger:
+    """What was scanned and found, as a table in a shared folder that each scan appends to.
+
+    A row is a blob with the rules (in their versions) that it was scanned for,
+    and their findings; so a scan that dies leaves either both or neither.  Two
+    scans at a time may scan a blob twice, which changes no result.
+    """
+
+    SCHEMA = "blob string, rules array<string>, spans array<struct<start:bigint,end:bigint,rule:string>>"
+
+    def __init__(self, spark: SparkSession, path: str | None = None) -> None:
+        """``path`` is that of an earlier ledger; without one it starts empty, in a folder of its own."""
+        self.spark, self.path = spark, path or new_path(spark, "ledger")
 
+    def table(self) -> DataFrame | None:
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        there = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path) if there else None
 
-def ledger_rows(blobs: DataFrame) -> DataFrame:
-    """What a scan of ``blobs`` adds to the ledger."""
-    key = F.split("key", "@")
-    return blobs.select("blob", F.explode("rules").alias("key")).select("blob", key[0].alias("rule"), key[1].cast("int").alias("version"))
+    def scan(self, docs: DataFrame, rules: tuple[Rule, ...] = BASE, text_col: str = "text") -> DataFrame:
+        """Scan what is unseen of ``docs``, append it, and give ``(blob, n_<rule>, found)`` of all blobs with findings."""
+        known = self.table()
+        scan(unseen(docs, rules, None if known is None else known.select("blob", "rules"), text_col), rules).write.mode("append").parquet(self.path)
+        return by_blob(self.table(), rules)
 
 
-def by_blob(findings: DataFrame, rules: tuple[Rule, ...] = BASE) -> DataFrame:
-    """One row for each blob with findings: counts by rule and the spans in order of start, then rule."""
-    spans = F.sort_array(F.collect_list(F.struct("start", "number", "end", "rule")))
-    counts = [F.count_if(F.col("rule") == r.name).alias(f"n_{r.name}") for r in rules]
-    return findings.groupBy("blob").agg(*counts, spans.alias("found"))
+def _blob(text_col: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
 
 
-def _rows_with_findings(docs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None, earlier: DataFrame | None, text_col: str) -> DataFrame:
+def _rows_with_findings(docs: DataFrame, rules: tuple[Rule, ...], ledger: Ledger | None, text_col: str) -> DataFrame:
     """``(_row, n_<rule>, found)``: rows as structs, so that no name of theirs can clash, with their blobs' findings."""
-    found = scan(unseen(docs, rules, ledger, text_col), rules)
-    if earlier is not None:
-        found = found.unionByName(earlier.select(found.columns))
-    found = by_blob(found, rules)
-    rows = docs.select(F.struct("*").alias("_row"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob")).join(found, "blob", "left")
+    ledger = ledger or Ledger(docs.sparkSession)
+    found = cut(ledger.scan(docs, rules, text_col), "findings")
+    rows = docs.select(F.struct("*").alias("_row"), _blob(text_col).alias("blob")).join(found, "blob", "left")
     none = F.array().cast(found.schema["found"].dataType)
-    return rows.select("_row", *(F.coalesce(f"n_{r.name}", F.lit(0)).alias(f"n_{r.name}") for r in rules), F.coalesce("found", none).alias("found"))
+    return rows.select("_row", *(F.coalesce(f"n_{r.name}", F.lit(0).cast("long")).alias(f"n_{r.name}") for r in rules), F.coalesce("found", none).alias("found"))
 
 
-def findings_of(docs: DataFrame, rules: tuple[Rule, ...] = BASE, ledger: DataFrame | None = None, earlier: DataFrame | None = None, text_col: str = "text") -> DataFrame:
+def findings_of(docs: DataFrame, rules: tuple[Rule, ...] = BASE, ledger: Ledger | None = None, text_col: str = "text") -> DataFrame:
     """``docs`` with counts ``n_<rule>`` and ``found``, an array of spans, for every path.
 
-    ``earlier`` are findings of earlier scans, to go with ``ledger``.  A null
-    text is scanned as an empty one.  Repeated rows each get the findings of
-    their text.  Columns of ``docs`` by an added name give way to it.
+    With a ``ledger`` only what it lacks is scanned, and it grows by that;
+    without one a new ledger is kept for this scan alone.  A null text is
+    scanned as an empty one.  Repeated rows each get the findings of their
+    text; spans with one start stand in the order of the rules.  A long text is
+    scanned whole, by one task.  Columns of ``docs`` by an added name give way
+    to it.  An empty table gives an empty result.
     """
-    rows = _rows_with_findings(docs, rules, ledger, earlier, text_col)
+    rows = _rows_with_findings(docs, rules, ledger, text_col)
     own = [c for c in docs.columns if c not in rows.columns]
     return rows.select(*(F.col("_row")[c].alias(c) for c in own), *rows.columns[1:])
 
@@ -127,7 +164,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE, text_col: str = "tex
     Columns as in ``docs``; ``length_col`` follows where a text changes.
     Texts without findings, null ones included, stay as they are.
     """
-    rows = _rows_with_findings(docs, rules, None, None, text_col)
+    rows = _rows_with_findings(docs, rules, None, text_col)
     pair = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
 
     def merge(acc: Column, s: Column) -> Column:

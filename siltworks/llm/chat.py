@@ -6,7 +6,8 @@ hashes, each salted with its place, so it rolls along a window; two 64-bit
 halves are kept.  A conversation is dropped if its whole hash is a proper
 prefix of another (an anti-join against the distinct prefix hashes), and of
 equal ones the least id stays.  Rendering reads the turns of those that stay,
-in parts of bounded length.
+in parts of bounded length.  What is joined to a conversation's turns is written
+first, so that Spark can split the turns of a very long one.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ def placed(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     Ties in the turn number go by role, then text.  A conversation is ranked in
     buckets of turn numbers, and the buckets' sums are added up in turn, so a
-    very long one is not ranked in one task.
+    very long one is not ranked in one task.  Turns with one number (or none)
+    share a bucket: they are ranked by role and text together.
     """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
     rows = turns.select(F.col(conv_col).alias("conv"), F.floor(F.coalesce(F.col(turn_col), F.lit(-1)) / bucket).alias("b"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
@@ -45,7 +47,7 @@ def placed(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
 def maximal(prefixes: DataFrame) -> DataFrame:
     """``(conv, n, copies)`` of conversations that are no proper prefix of another; of equal ones the least id, a null id last."""
-    whole = prefixes.groupBy("conv").agg(F.max_by(F.struct("i", "px", "py"), "i").alias("w")).select("conv", "w.*")
+    whole = cut(prefixes.groupBy("conv").agg(F.max_by(F.struct("i", "px", "py"), "i").alias("w")).select("conv", "w.*"), "whole")
     distinct = whole.groupBy("i", "px", "py").agg(F.min("conv").alias("conv"), F.count("*").alias("copies"))
     longer = prefixes.join(whole.select(F.col("conv").alias("_c"), F.col("i").alias("n")), F.col("conv").eqNullSafe(F.col("_c"))).where("i < n")
     proper = longer.groupBy("i", "px", "py").agg(F.lit(True).alias("seen"))
@@ -64,8 +66,9 @@ def render(turns: DataFrame, part_turns: int = 64, **cols: str) -> DataFrame:
     rendering.  ``n_turns`` is the whole conversation's length and ``copies``
     how many logged ones equal it.  Null roles and texts are empty.  Turns with
     a null number come first; turns without a conversation id are one
-    conversation.  Repeated rows are turns of their own.  An empty table gives
-    no rows.
+    conversation.  Repeated rows are turns of their own.  A very long text is
+    part of one rendered part, whole.  Other columns are not read.  An empty
+    table gives no rows.
     """
     rows = cut(placed(turns, **cols), "turns")
     stay = cut(maximal(rows.select("conv", "i", "px", "py")), "maximal").withColumnRenamed("conv", "_c")

@@ -13,6 +13,7 @@ Statistics are array functions on one row; nothing is shuffled but patterns.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -116,11 +117,16 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 500) -> tuple[f
     """Prior log odds of quality, and for each rule the log odds that each of its votes adds.
 
     Expectation-maximisation of a two-class model in which rules vote
-    independently.  It starts from a vote in which one against
-    outweighs three for, since a text has many ways to be bad and each shows in
-    few statistics.  A rule's vote against may
-    not become likelier on good texts than on bad ones, so the classes can't
-    change places.  Votes that never happen add nothing.
+    independently, so no two rules read the same statistic.  It starts from a
+    vote in which one against outweighs three for, since a text has many ways
+    to be bad and each shows in few statistics.  Each rule's shares of votes
+    have a prior: a good text is mostly voted for, a bad one is voted against by
+    every other rule.  It weighs as much as a thousandth of the texts, enough to
+    keep a share off 0 and too little to hold against counts.  A rule's vote
+    against may not become likelier on good texts than on bad ones, so the
+    classes can't change places.  Votes that never happen add nothing.  It ends
+    when posteriors move by under a millionth on average, or with a warning
+    after ``rounds``.
     """
     rules = len(next(iter(patterns), ()))
     total = sum(patterns.values())
@@ -145,6 +151,9 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 500) -> tuple[f
         before, good = good, {p: 1 / (1 + math.exp(-max(-50.0, min(50.0, prior + sum(odds[j][v] for j, v in enumerate(p)))))) for p in patterns}
         if sum(c * abs(good[p] - before[p]) for p, c in patterns.items()) < 1e-6 * total:
             break
+    else:
+        if total:
+            warnings.warn(f"rule estimates still moved after {rounds} rounds", stacklevel=2)
     return prior, odds
 
 
@@ -165,8 +174,10 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The statistics, ``base_failed``, ``p_quality`` and ``kept`` of every row, with its id.
 
     A null text counts as empty, so it has no words and fails.  Repeated rows
-    are judged alike, each on its own.  An empty table gives an empty result.
-    Texts are read once: the statistics are written as a narrow table.
+    are judged alike, each on its own.  A posterior of exactly ``least`` is
+    kept.  A very long text is measured whole, by one task.  Other columns are
+    not read.  An empty table gives an empty result.  Texts are read once: the
+    statistics are written as a narrow table.
     """
     measured = with_statistics(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")), "_text").drop("_text")
     return judge(cut(measured, "statistics"))

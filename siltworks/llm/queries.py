@@ -80,4 +80,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_secrets": secrets.SQL,
     "op5_chat": chat.SQL,
+    "op10_warc": warc.SQL,
 }

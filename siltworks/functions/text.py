@@ -36,7 +36,11 @@ def tag_name(s) -> Column:
     return F.regexp_replace(F.lower(F.trim(_c(s))), r"[\s-]+", "_")
 
 
-def is_tag(s, pattern: str = r"^[a-z0-9_().:'!+-]+$") -> Column:
+#: Fixed value: the characters of a tag.
+TAG = r"^[a-z0-9_:()!?.\-]+$"
+
+
+def is_tag(s, pattern: str = TAG) -> Column:
     """Whether a text can be a tag of the closed vocabulary: its characters, three or more, one of them a letter."""
     return F.coalesce(_c(s).rlike(pattern) & (F.length(_c(s)) >= 3) & _c(s).rlike("[a-z]"), F.lit(False))
 
@@ -162,7 +166,7 @@ def knowledge_block(name, aliases, desc, most_aliases: int = 5, cut: int = 250)
 
 def clean_list(values, allowed: list[str] | None = None, cap: int = 10) -> Column:
     """A text split at commas or list marks, or a list: trimmed, distinct in order, of the allowed ones, at most ``cap``."""
-    trimmed = F.filter(F.transform(_c(values), F.trim), lambda v: v != "")
+    trimmed = F.filter(F.transform(_c(values), lambda v: F.trim(v)), lambda v: v != "")
     if allowed is not None:
         trimmed = F.filter(trimmed, lambda v: v.isin(allowed))
     return F.slice(F.array_distinct(trimmed), 1, cap)

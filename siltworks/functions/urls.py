@@ -74,6 +74,7 @@ def images(page, hints: tuple[str, ...] = (), cap: int = 40, exclude: tuple[str,
     go; at most ``cap`` stay.
     """
     page = F.coalesce(_c(page), F.lit(""))
+    # fixed values: the attributes of an image's source, in this order
     tags = F.regexp_extract_all(page, F.lit(r"(?i)(<img\b[^>]*>)"), F.lit(1))
     clean = lambda u: F.replace(F.trim(u), F.lit("&amp;"), F.lit("&"))
     source = r"""(?i)(?:data-original|data-src|data-ori|data-lazy-src|src)\s*=\s*["']([^"']+)["']"""
@@ -96,10 +97,21 @@ def links(page) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.coalesce(_c(page), F.lit("")), F.lit(r"""(?i)href\s*=\s*["']([^"']+)["']"""), F.lit(1)))
 
 
+#: The endings of image URLs in a sample.
+IMAGE_ENDINGS = (".jpg", ".jpeg", ".png", ".gif", ".webp", ".bmp", ".tif", ".tiff")
+
+
+def ends_as_image(url) -> Column:
+    """Whether a URL, up to a question mark, ends as an image's does."""
+    plain = F.substring_index(F.lower(_c(url)), "?", 1)
+    return F.exists(F.array(*(F.lit(e) for e in IMAGE_ENDINGS)), lambda e: plain.endswith(e))
+
+
 def media_hosts(sample) -> Column:
-    """The distinct hosts of image URLs anywhere in a text, in order."""
-    urls = F.regexp_extract_all(F.coalesce(_c(sample), F.lit("")), F.lit(r"(?i)(https?://[^\s\"'<>\\]+\.(?:jpg|jpeg|png|webp|gif))"), F.lit(1))
-    return F.array_distinct(F.transform(urls, host))
+    """The distinct hosts of https image URLs among the values of a JSON text, sorted."""
+    texts = F.regexp_extract_all(F.coalesce(_c(sample), F.lit("")), F.lit(r'"(https://(?:[^"\\]|\\.)*)"'), F.lit(1))
+    found = F.filter(F.transform(texts, lambda u: F.replace(u, F.lit("\\/"), F.lit("/"))), ends_as_image)
+    return F.array_sort(F.array_distinct(F.transform(found, host)))
 
 
 def robots_allow(path, disallowed) -> Column:

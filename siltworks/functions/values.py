@@ -22,11 +22,17 @@ def page_size(n, factor: float, low: int, high: int) -> Column:
     return F.least(F.lit(high), F.greatest(F.lit(low), (_c(n) * factor).cast("int")))
 
 
-def backoff(attempt, base: float = 1.0, most: float = 120.0) -> Column:
+def backoff(attempt, base: float = 5.0, most: float = 120.0) -> Column:
     """Seconds before the next try, doubling."""
     return F.least(F.lit(base) * F.pow(F.lit(2.0), _c(attempt) - 1), F.lit(most))
 
 
+def signature(fields: dict[str, object], secret: str = "") -> Column:
+    """The md5 of a request's fields as ``name=value``, in order of name, joined by ampersands, with a secret behind."""
+    pairs = [F.concat(F.lit(f"{k}="), F.url_encode(F.coalesce(_c(fields[k]).cast("string"), F.lit("")))) for k in sorted(fields)]
+    return F.md5(F.concat(F.concat_ws("&", *pairs), F.lit(secret)))
+
+
 def mirror_loss(own, mirror) -> Column:
     """By what share, in per cent, a mirror beats the origin."""
     return F.round((1 - _c(own) / F.nullif(_c(mirror), F.lit(0.0))) * 100, 1)
@@ -45,9 +51,13 @@ def timestamp_of(seconds) -> Column:
     return F.timestamp_seconds(_c(seconds))
 
 
+def dot(a, b) -> Column:
+    """The inner product of two arrays, in double precision."""
+    return F.aggregate(F.zip_with(_c(a), _c(b), lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+
 def cosine(a, b) -> Column:
     """Cosine of two arrays, in double precision, with a small term against zero length."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     a, b = _c(a), _c(b)
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)) + 1e-9)
 

@@ -117,19 +117,29 @@ def ordered_reason(gates: list[tuple[str, Column]]) -> Column:
     return reason if reason is not None else F.lit(None).cast("string")
 
 
-def post_gates(min_score: int | None = 10, formats: tuple[str, ...] = ("jpg", "jpeg", "png", "webp"), min_side: int = 512, bad_tags: tuple[str, ...] = ("comic", "monochrome", "sketch")) -> list[tuple[str, Column]]:
-    """The value gates of bulk posts, in order.  Without ``min_score`` there is no score gate."""
-    tags = F.split(F.coalesce("tag_string", F.lit("")), " ")
+#: Ratings, formats and tags of bulk posts that pass or, the last, don't.
+POST_RATINGS = ("g",)
+POST_FORMATS = ("jpg", "jpeg", "png", "gif", "webp", "bmp")
+BAD_TAGS = (
+    "lowres", "bad_id", "bad_link", "bad_pixiv_id", "bad_twitter_id",
+    "watermark", "watermarked", "translated", "commentary",
+    "third-party_edit", "censored", "spoilers", "downscaled",
+)
+
+
+def post_gates(min_score: int | None = 0, min_side: int = 0, ratings: tuple[str, ...] = POST_RATINGS, formats: tuple[str, ...] = POST_FORMATS, bad_tags: tuple[str, ...] = BAD_TAGS) -> list[tuple[str, Column]]:
+    """The value gates of bulk posts, in order.  A score or side of zero or None is no gate."""
+    tags = F.split(F.coalesce("tag_string", F.lit("")), r"\s+")
     gates = [
-        ("rating", ~F.coalesce("rating", F.lit("")).isin("g", "s")),
+        ("rating", ~F.coalesce("rating", F.lit("")).isin(*ratings)),
         ("deleted", F.col("is_deleted")),
         ("flagged", F.col("is_flagged") | F.col("is_pending")),
         ("score", F.coalesce("score", F.lit(0)) < (min_score or 0)),
-        ("format", ~F.coalesce("file_ext", F.lit("")).isin(*formats)),
+        ("format", ~F.lower(F.coalesce("file_ext", F.lit(""))).isin(*formats)),
         ("small", F.least(F.coalesce("image_width", F.lit(0)), F.coalesce("image_height", F.lit(0))) < min_side),
         ("bad_tag", F.arrays_overlap(tags, F.array(*(F.lit(t) for t in bad_tags))) if bad_tags else F.lit(False)),
     ]
-    return [g for g in gates if min_score is not None or g[0] != "score"]
+    return [g for g in gates if (min_score or g[0] != "score") and (min_side or g[0] != "small")]
 
 
 def funnel(df: DataFrame, reason: Column) -> DataFrame:
@@ -159,8 +169,8 @@ def congested(kind) -> Column:
 
 
 def status_class(code) -> Column:
-    """``ok``, ``transient`` (try again) or ``deterministic`` of an HTTP status; none at all is transient."""
-    return F.when(code.between(200, 299), "ok").when(code.isNull() | code.isin(408, 425, 429) | (code >= 500), "transient").otherwise("deterministic")
+    """``ok`` (under 400), ``transient`` (429 and from 500: try again) or ``deterministic`` of an HTTP status; none at all is transient."""
+    return F.when(code < 400, "ok").when(code.isNull() | (code == 429) | (code >= 500), "transient").otherwise("deterministic")
 
 
 def usable(lifecycle) -> Column:
@@ -181,10 +191,10 @@ def pools(df: DataFrame, control: int = 5000, key: str = "sha256", score: str =
     return low.unionByName(high)
 
 
-def structure(rows: DataFrame, width: str = "width", height: str = "height", url: str = "content_url") -> DataFrame:
-    """One row on a source's sample: count, shares with sizes and with image URLs, and whether it passes (3 rows, half, half)."""
-    sized = F.avg((F.col(width).isNotNull() & F.col(height).isNotNull()).cast("double"))
-    looks = F.avg(F.coalesce(F.col(url).rlike(r"(?i)\.(jpg|jpeg|png|webp|gif)"), F.lit(False)).cast("double"))
+def structure(rows: DataFrame, width: str = "width", height: str = "height", url: str = "content_url", mime: str = "mime") -> DataFrame:
+    """One row on a source's sample: count, shares with sizes and with an image's ending or type, and whether it passes (3 rows, half, half)."""
+    sized = F.avg(((F.coalesce(width, F.lit(0)) != 0) & (F.coalesce(height, F.lit(0)) != 0)).cast("double"))
+    looks = F.avg((F.coalesce(urls.ends_as_image(url), F.lit(False)) | F.coalesce(F.col(mime).startswith("image/"), F.lit(False))).cast("double"))
     out = rows.agg(F.count("*").alias("n"), F.coalesce(sized, F.lit(0.0)).alias("with_size"), F.coalesce(looks, F.lit(0.0)).alias("with_image_url"))
     return out.withColumn("passes", (F.col("n") >= 3) & (F.col("with_size") >= 0.5) & (F.col("with_image_url") >= 0.5))
 

@@ -28,19 +28,28 @@ def matched(posts: DataFrame, index: DataFrame, key: str = "id", tags: str = "ta
 
 
 def by_instance(posts: DataFrame, index: DataFrame, k: int, **gates) -> DataFrame:
-    """The best ``k`` posts of each instance past the value gates, one of each pixel hash; groups are not refilled after that."""
+    """The best ``k`` posts of each instance past the value gates; then, of each pixel hash (md5, where there is none), the best row of all instances.
+
+    Rows with neither hash all stay.  Groups are not refilled after that.  Of
+    rows with one score and post the least instance comes first.
+    """
     good = posts.where(ordered_reason(post_gates(**gates)).isNull())
-    best = top_n(matched(good, index), ["instance"], [F.col("score").desc(), F.col("id")], k)
-    best = best.withColumn("_pixels", F.coalesce("media_asset.pixel_hash", F.concat(F.lit("id:"), F.col("id").cast("string"))))
-    return first_of(best, ["instance", "_pixels"], [F.col("score").desc(), F.col("id")]).drop("_pixels")
+    best = top_n(matched(good, index), ["instance"], [F.coalesce("score", F.lit(0)).desc(), F.col("id")], k)
+    own = F.concat_ws(":", F.lit("row"), F.col("id").cast("string"), "instance")
+    best = best.withColumn("_pixels", F.coalesce(F.nullif("media_asset.pixel_hash", F.lit("")), F.nullif("md5", F.lit("")), own))
+    return first_of(best, ["_pixels"], [F.coalesce("score", F.lit(0)).desc(), F.col("id"), F.col("instance")]).drop("_pixels")
+
 
+def representatives(posts: DataFrame, vocabulary: DataFrame, min_score: int = 10, min_side: int = 768, **gates) -> DataFrame:
+    """For each character the post of the highest score (then least id), if that is ``min_score`` or more.
 
-def representatives(posts: DataFrame, vocabulary: DataFrame, **gates) -> DataFrame:
-    """For each character the post of the highest score (then least id); a post's character is its first tag in the vocabulary (tag)."""
-    good = posts.where(ordered_reason(post_gates(min_score=None, **gates)).isNull())
-    each = good.select("id", "score", F.posexplode(words("tag_string_character")).alias("at", "character"))
+    A post's character is its first tag in the vocabulary (tag).  The score is
+    no gate before that.
+    """
+    good = posts.where(ordered_reason(post_gates(min_score=None, min_side=min_side, **gates)).isNull())
+    each = good.select("id", F.coalesce("score", F.lit(0)).alias("score"), F.posexplode(words("tag_string_character")).alias("at", "character"))
     first = first_of(each.join(vocabulary.select(F.col("tag").alias("character")), "character", "left_semi"), ["id"], ["at"])
-    return first_of(first.drop("at"), ["character"], [F.col("score").desc(), F.col("id")])
+    return first_of(first.drop("at"), ["character"], [F.col("score").desc(), F.col("id")]).where(F.col("score") >= min_score)
 
 
 def band(score: Column) -> Column:

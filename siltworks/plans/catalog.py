@@ -447,11 +447,11 @@ def rule_match(s, d):
 
 @query("""SELECT band, kind, count(*) AS n, count(*) FILTER (h) AS hits, round(count(*) FILTER (h) / nullif(count(h), 0), 3) AS rate FROM (
 SELECT CASE WHEN coalesce(quality, 0) * 5 <= 3 THEN '0-3' WHEN quality * 5 <= 6 THEN '4-6' ELSE '7-10' END AS band,
- CASE WHEN regexp_matches(substr(text, 1, 40), '[_(]') THEN 'tag' ELSE 'plain' END AS kind, toxic = 1 AS h
+ CASE WHEN regexp_matches(coalesce(text, ''), '[\\x{4E00}-\\x{9FFF}]') THEN 'cjk' WHEN regexp_matches(coalesce(text, ''), '[_(]') THEN 'tag' ELSE 'plain' END AS kind, toxic = 1 AS h
 FROM documents LEFT JOIN labels USING (doc_id)) GROUP BY 1, 2""")
 def query_kind_bands(s, d):
     rows = read(s, d, "documents").join(read(s, d, "labels"), "doc_id", "left")
-    return probes.rates(rows, [probes.match_band(F.col("quality") * 5).alias("band"), text.query_kind(F.substring("text", 1, 40)).alias("kind")], F.col("toxic") == 1)
+    return probes.rates(rows, [probes.match_band(F.col("quality") * 5).alias("band"), text.query_kind("text").alias("kind")], F.col("toxic") == 1)
 
 
 # --- reports ------------------------------------------------------------------
@@ -538,9 +538,9 @@ def throughput_levels(s, d):
 
 @query("SELECT max(ts) AS at, count(*) FILTER (ts >= m - INTERVAL 1 DAY) AS last_day, count(*) FILTER (ts >= m - INTERVAL 6 HOUR) AS last_hours FROM events, (SELECT max(ts) AS m FROM events)")
 def status_recent(s, d):
-    rows = read(s, d, "events")
-    at = rows.agg(F.max("ts").alias("at")).first()[0]
-    since = lambda span: F.count_if(F.col("ts") >= F.lit(at) - F.expr(f"INTERVAL {span}"))
+    rows = read(s, d, "events").select("ts")
+    rows = rows.crossJoin(rows.agg(F.max("ts").alias("m")))  # one row
+    since = lambda span: F.count_if(F.col("ts") >= F.col("m") - F.expr(f"INTERVAL {span}"))
     return rows.agg(F.max("ts").alias("at"), since("1 DAY").alias("last_day"), since("6 HOUR").alias("last_hours"))
 
 
@@ -692,16 +692,16 @@ _VECTORS = "SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS
 
 
 @query(f"""WITH v AS ({_VECTORS}), q AS (SELECT vec_id, v FROM v WHERE vec_id % 50 = 0),
-p AS (SELECT q.vec_id AS query_id, v.vec_id AS vec_id, round(list_sum(list_transform(list_zip(q.v, v.v), lambda z: z[1] * z[2])) / (sqrt(list_sum(list_transform(q.v, lambda x: x * x))) * sqrt(list_sum(list_transform(v.v, lambda x: x * x))) + 1e-9), 6) AS similarity FROM q, v)
-SELECT query_id, vec_id, similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM p) WHERE rank <= 3""")
+p AS (SELECT q.vec_id AS query_id, v.vec_id AS vec_id, list_sum(list_transform(list_zip(q.v, v.v), lambda z: z[1] * z[2])) / (sqrt(list_sum(list_transform(q.v, lambda x: x * x))) * sqrt(list_sum(list_transform(v.v, lambda x: x * x))) + 1e-9) AS similarity FROM q, v)
+SELECT query_id, vec_id, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM p) WHERE rank <= 3""")
 def cosine_topk(s, d):
     rows = read(s, d, "embeddings").select("vec_id", "embedding")
     return emerge.nearest_entities(rows.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"), rows, 3, "query_id", "vec_id")
 
 
 @query("""WITH e AS (SELECT label, vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), m AS (SELECT label, i, avg(x) AS m FROM e GROUP BY 1, 2),
-s AS (SELECT e.label, vec_id, round(sum((x - m) * (x - m)), 6) AS distance FROM e JOIN m ON e.label = m.label AND e.i = m.i GROUP BY 1, 2)
-SELECT label, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) AS rank FROM s) WHERE rank <= 5""")
+s AS (SELECT e.label, vec_id, sum((x - m) * (x - m)) AS distance FROM e JOIN m ON e.label = m.label AND e.i = m.i GROUP BY 1, 2)
+SELECT label, vec_id, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) AS rank FROM s) WHERE rank <= 5""")
 def centroid_representatives(s, d):
     return emerge.nearest_members(read(s, d, "embeddings"), 5)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, values
-from ..operators.ranking import top_n
+from ..operators.ranking import renumbered, top_n
 
 
 def centroids(vectors: DataFrame, by: str = "label", vector: str = "embedding") -> DataFrame:
@@ -22,8 +22,8 @@ def centroids(vectors: DataFrame, by: str = "label", vector: str = "embedding")
 
 def nearest_members(vectors: DataFrame, n: int, by: str = "label", vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """The ``n`` members of each cluster that are nearest to its centroid.  Centroids are one small row a cluster."""
-    rows = vectors.join(centroids(vectors, by, vector), by).withColumn("distance", F.round(values.square_distance(vector, "centroid"), 6))
-    return top_n(rows.select(by, key, "distance"), [by], ["distance", key], n, "rank")
+    rows = vectors.join(centroids(vectors, by, vector), by).withColumn("distance", values.square_distance(vector, "centroid"))
+    return top_n(rows.select(by, key, "distance"), [by], ["distance", key], n, "rank").withColumn("distance", F.round("distance", 6))
 
 
 def nearest_entities(queries: DataFrame, entities: DataFrame, k: int, query_key: str, entity_key: str, vector: str = "embedding", blocks: int = 64) -> DataFrame:
@@ -33,11 +33,13 @@ def nearest_entities(queries: DataFrame, entities: DataFrame, k: int, query_key:
     each block of entities, which gives its own best ``k``; then the blocks'
     best are ranked.  Neither side need fit in memory.
     """
-    q = queries.select(query_key, F.col(vector).alias("_q")).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    e = entities.select(entity_key, F.col(vector).alias("_e")).withColumn("_b", F.pmod(F.xxhash64(entity_key), F.lit(blocks)).cast("int"))
-    rows = q.join(e, "_b").select("_b", query_key, entity_key, F.round(values.cosine("_q", "_e"), 6).alias("similarity"))
+    length = F.sqrt(values.dot(vector, vector))  # once a vector, not once a pair
+    q = queries.select(query_key, F.col(vector).alias("_q"), length.alias("_ql")).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    e = entities.select(entity_key, F.col(vector).alias("_e"), length.alias("_el")).withColumn("_b", F.pmod(F.xxhash64(entity_key), F.lit(blocks)).cast("int"))
+    rows = q.join(e, "_b").select("_b", query_key, entity_key, (values.dot("_q", "_e") / (F.col("_ql") * F.col("_el") + 1e-9)).alias("similarity"))
     order = [F.col("similarity").desc(), F.col(entity_key)]
-    return top_n(top_n(rows, ["_b", query_key], order, k).drop("_b"), [query_key], order, k, "rank")
+    best = top_n(top_n(rows, ["_b", query_key], order, k).drop("_b"), [query_key], order, k, "rank")
+    return best.withColumn("similarity", F.round("similarity", 6))
 
 
 def named_entities(concepts: DataFrame, entities: DataFrame) -> DataFrame:
@@ -85,3 +87,17 @@ def clusters(vectors: DataFrame, k: int, vector: str = "embedding", seed: int =
 
     rows = vectors.withColumn("_v", array_to_vector(vector))
     return KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="cluster_id").fit(rows).transform(rows).drop("_v")
+
+
+def concepts(vectors: DataFrame, entities: DataFrame, least: float, by: str = "cluster_id", name: str = "name", vector: str = "embedding") -> DataFrame:
+    """The whole of emergence behind the clustering: ``(cluster_id, size, rank, nearest, similarity, verdict)`` of each cluster.
+
+    Clusters (other than noise, below 0) are numbered by size; a centroid's
+    nearest entity by cosine makes it ``existing``, if that is at least
+    ``least``, else it is ``new``.
+    """
+    own = centroids(vectors.where(F.col(by) >= 0), by, vector)
+    near = nearest_entities(own.select(by, F.col("centroid").alias(vector)), entities, 1, by, name, vector).select(by, F.col(name).alias("nearest"), "similarity")
+    rows = own.select(by, "size").join(near, by, "left")
+    verdict = F.when(F.col("similarity") >= least, "existing").otherwise("new")
+    return renumbered(rows, [], key=by).withColumn("verdict", verdict)

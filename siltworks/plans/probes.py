@@ -58,3 +58,16 @@ def identities(meta: DataFrame, manifest: DataFrame) -> DataFrame:
     """Post data joined to images by the post id in the landing page's URL."""
     post = F.regexp_extract(F.coalesce("landing_url", F.lit("")), r"/posts/(\d+)", 1).try_cast("bigint")
     return manifest.withColumn("post_id", post).join(meta.withColumnRenamed("id", "post_id"), "post_id")
+
+
+def retrieval(manifest: DataFrame, payloads: DataFrame, source: str, names: DataFrame, judge: Column) -> DataFrame:
+    """The whole retrieval probe: a source's pairs, decided by rule or else by the judge, and match rates among the judged by band of score."""
+    rows = ruled(pairs(manifest, payloads, source), names)
+    rows = rows.withColumn("verdict", F.coalesce("verdict", judge))
+    hit = F.when(F.col("verdict") != "inconclusive", F.col("verdict") == "match")
+    return rates(rows, [match_band(F.col("kb_match")).alias("band")], hit)
+
+
+def identity(meta: DataFrame, manifest: DataFrame, recognised: Column, by: list[Column]) -> DataFrame:
+    """The whole identity probe: posts joined to images, and recognition rates by band among the rows where it is known."""
+    return rates(identities(meta, manifest), by, recognised)

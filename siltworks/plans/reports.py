@@ -112,3 +112,14 @@ def text_table(df: DataFrame, title: str, limit: int = 50) -> str:
     rows = df.limit(limit).collect()
     head = "| " + " | ".join(df.columns) + " |\n|" + "-|" * len(df.columns)
     return f"## {title}\n\n{head}\n" + "\n".join("| " + " | ".join(str(v) for v in r) + " |" for r in rows)
+
+
+def request_rates(rows: DataFrame, by: str, at: str, failure: str, classes: list[str]) -> DataFrame:
+    """For each group the requests, how many a second between the first and the last (``at`` in seconds), and how many failed by class."""
+    span = F.nullif(F.max(at) - F.min(at), F.lit(0.0))
+    return rows.groupBy(by).agg(F.count("*").alias("n"), F.round(F.count("*") / span, 3).alias("qps"), *(F.count_if(F.col(failure) == c).alias(c) for c in classes))
+
+
+def lowest(rows: DataFrame, score: str, key: str, n: int = 5) -> DataFrame:
+    """The ``n`` rows of the least known score, ties by key."""
+    return rows.where(F.col(score).isNotNull()).orderBy(score, key).limit(n)

@@ -144,11 +144,19 @@ def pattern_images(replies: DataFrame, pattern: str, cap: int = 40, document: st
     return replies.select("source", "instance", "query", F.posexplode(F.slice(F.array_distinct(found), 1, cap)).alias("source_rank", "content_url"))
 
 
-def posts(replies: DataFrame, path: str = "$", ratings: tuple[str, ...] = ("g", "s", "general", "safe", "sensitive"), cap: int = 40) -> DataFrame:
-    """Image board posts of a safe rating with an https file, at most ``cap``."""
+#: The ratings that pass, by board.
+SAFE = {"danbooru": ("g",), "gelbooru": ("general", "safe")}
+
+
+def posts(replies: DataFrame, path: str = "$", ratings: tuple[str, ...] | None = None, cap: int = 40) -> DataFrame:
+    """Image board posts of a safe rating with an https file, at most ``cap``.  By default a board's own ratings pass, any board's for one not named."""
     rows = listed(replies, path)
     url = F.coalesce(_get("file_url"), _get("large_file_url"))
-    out = rows.where(_get("rating").isin(*ratings) & F.coalesce(url.startswith("https://"), F.lit(False)))
+    safe = _get("rating").isin(*(ratings or {r for own in SAFE.values() for r in own}))
+    if ratings is None:
+        for board, own in SAFE.items():
+            safe = F.when(F.col("source") == board, _get("rating").isin(*own)).otherwise(safe)
+    out = rows.where(safe & F.coalesce(url.startswith("https://"), F.lit(False)))
     out = out.select("source", "instance", "query", "source_rank", _get("id").alias("asset_id"), url.alias("content_url"), values.safe_int(F.coalesce(_get("image_width"), _get("width"))).alias("declared_width"),
                      values.safe_int(F.coalesce(_get("image_height"), _get("height"))).alias("declared_height"), values.safe_int(_get("score"), 0).cast("double").alias("source_score"), F.coalesce(_get("tag_string"), _get("tags")).alias("evidence"))
     return top_n(out, ["source", "instance"], ["source_rank"], cap)

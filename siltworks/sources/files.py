@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import io
 import json
-import tarfile
 from collections.abc import Iterator
+from itertools import groupby, islice
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,35 +36,54 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _member_lines(lines: Iterator[bytes], member: str) -> Iterator[bytes]:
+    """The lines of one member of a tar, from all lines of the archive; headers and padding are parts of lines."""
+    inside = False
+    for line in lines:
+        while (at := _header(line)) >= 0:
+            before, head, line = line[:at].rstrip(b"\0"), line[at : at + 512], line[at + 512 :]
+            if inside and before:
+                yield before  # the member before has no newline at its end
+            name = head[:100].rstrip(b"\0").decode("utf-8", "replace")
+            inside = head[156:157] in (b"0", b"\0") and name.rpartition("/")[2] == member
+        if inside and (line := line.rstrip(b"\0")):
+            yield line
+
+
+def _header(line: bytes) -> int:
+    """Where a tar header starts in a line, told by its mark and checksum, or -1."""
+    at = line.find(b"ustar")
+    while at >= 0:
+        head = line[at - 257 : at + 255] if at >= 257 else b""
+        digits = head[148:156].strip(b"\0 ")
+        if len(head) == 512 and digits.isdigit() and int(digits, 8) == sum(head) - sum(head[148:156]) + 8 * 32:
+            return at - 257
+        at = line.find(b"ustar", at + 1)
+    return -1
+
+
 def read_dump(spark: SparkSession, path: str, member: str, schema: StructType) -> DataFrame:
-    """JSON lines of one member of gzipped tars; a stream that is cut short ends the scan without an error.
+    """JSON lines of one member of gzipped tars, of any size; a stream that is cut short ends the scan without an error.
 
-    A gzip stream can't be split, so an archive is one task, which streams it
-    and holds a batch at a time.  The archive's bytes come through Spark, from
-    any store that it reads.
+    Spark's text reader undoes the compression as it reads (names must end in
+    ``.gz``) and gives the archive's lines, with headers and padding among them.
+    A gzip stream can't be split, so an archive is one task, which holds a batch
+    of lines at a time.  A member is named by the last part of its path.  Lines
+    that aren't objects are skipped.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for data in b.column(0):
-                lines: list[str] = []
-                try:
-                    with tarfile.open(fileobj=io.BytesIO(data.as_py()), mode="r|gz") as tar:
-                        for entry in tar:
-                            if entry.name.removeprefix("./") != member:
-                                continue
-                            for line in tar.extractfile(entry):
-                                if not line.endswith(b"}\n") and not line.rstrip().endswith(b"}"):
-                                    continue
-                                lines.append(line.decode("utf-8", "replace"))
-                                if len(lines) >= 5000:
-                                    yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["line"])
-                                    lines = []
-                            break
-                except (EOFError, tarfile.ReadError):
-                    pass
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["line"])
-
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "line string")
+        def all_lines() -> Iterator[tuple[str, bytes]]:
+            for b in batches:
+                yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+
+        for _, own in groupby(all_lines(), key=itemgetter(0)):
+            found = (x for x in _member_lines(map(itemgetter(1), own), member) if x.rstrip().endswith(b"}"))
+            while some := list(islice(found, 5000)):
+                yield pa.RecordBatch.from_arrays([pa.array([x.decode("utf-8", "replace") for x in some], pa.string())], ["line"])
+
+    lines = spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", "true").text(path)
+    rows = lines.select(F.col("_metadata.file_path").alias("f"), F.col("value").cast("binary").alias("value")).mapInArrow(run, "line string")
     return rows.select(F.from_json("line", schema).alias("r")).where("r IS NOT NULL").select("r.*")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import urls, values
 from ..functions.text import query_form
 
-#: The fields that a specification may fill, and their types.
+#: The fields that a specification may fill, and their types.
 FIELDS = {
     "asset_id": "string", "content_url": "string", "landing_url": "string", "width": "bigint", "height": "bigint",
     "size": "bigint", "mime": "string", "author": "string", "credit": "string", "license": "string", "score": "double",
@@ -134,7 +134,17 @@ def request(job_query: Column, wanted: Column, spec: dict) -> Column:
     return F.struct(F.regexp_replace(F.concat(*parts), "[?&]$", "").alias("url"), q.alias("query"), n.alias("page_size"))
 
 
-def container(document: Column, keys: tuple[str, ...] = ("data", "results", "items", "hits", "list", "images", "photos", "posts")) -> Column:
-    """The first of the usual keys, in order, that holds a list; ``$`` if the document is one; else null."""
-    options = [F.when(lookup(document, k).startswith("["), f"$.{k}") for k in keys]
-    return F.coalesce(F.when(F.ltrim(document).startswith("["), "$"), *options)
+#: The keys under which replies hold their items, in this order.
+ITEM_KEYS = ("results", "data", "items", "hits", "posts", "images", "docs")
+
+
+def container(document: Column, keys: tuple[str, ...] = ITEM_KEYS) -> Column:
+    """The path of the first key, in order, that holds a list, or an object that holds one under a key; ``$`` if the document is a list; else null."""
+
+    def is_list(path: str) -> Column:
+        return F.get_json_object(document, path).startswith("[")
+
+    options = [F.when(is_list("$"), "$")]
+    for k in keys:
+        options += [F.when(is_list(f"$.{p}"), f"$.{p}") for p in (k, *(f"{k}.{inner}" for inner in keys))]
+    return F.coalesce(*options)

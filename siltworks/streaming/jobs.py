@@ -68,7 +68,7 @@ class WorkQueue(StatefulProcessor):
     taken back by a timer, which also runs between rows.
     """
 
-    STALE, MOST, BASE, LONGEST = 600.0, 3, 1.0, 120.0
+    STALE, MOST, BASE, LONGEST = 600.0, 3, 5.0, 120.0
     OUT = "key string, status string, attempts int, next_try double"
     TIME = "ProcessingTime"
 
@@ -165,6 +165,46 @@ def every(spark: SparkSession, seconds: int, step: Callable[[int], None], checkp
     return rate.writeStream.foreachBatch(lambda _, n: step(n)).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
 
 
+def waves(generate: Callable[[int], int], drained: Callable[[], bool], wait: Callable[[], None], first: int = 1, most: int | None = None) -> int:
+    """Generate wave after wave of missing work: the next one when the queues are drained, until one is empty.  Returns the last wave's number.
+
+    ``generate(n)`` puts the work of a wave into the queue and says how much it was.
+    """
+    n = first
+    while generate(n) and (most is None or n < first + most - 1):
+        while not drained():
+            wait()
+        n += 1
+    return n
+
+
+def refill(step: Callable[[], int], wait: Callable[[], None], idle: int = 6) -> int:
+    """Do a step again and again until it has had nothing to do ``idle`` times in a row; how much was done in all."""
+    done = empty = 0
+    while empty < idle:
+        n = step()
+        done, empty = done + n, 0 if n else empty + 1
+        if not n:
+            wait()
+    return done
+
+
+class Climb:
+    """How many calls to have in flight: a step on after a window of the best throughput so far, a step the other way after any other."""
+
+    def __init__(self, start: int, step: int, low: int, high: int) -> None:
+        self.level, self.step, self.low, self.high, self.best = start, step, low, high, 0.0
+
+    def window(self, throughput: float) -> int:
+        """The level for the next window."""
+        if throughput > self.best:
+            self.best = throughput
+        else:
+            self.step = -self.step
+        self.level = max(self.low, min(self.high, self.level + self.step))
+        return self.level
+
+
 def windowed_counts(stream: DataFrame, time: str, by: str, width: str = "1 day", late: str = "1 hour") -> DataFrame:
     """An extension: counts by event-time window, with a watermark for late rows."""
     timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)

@@ -7,6 +7,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
+from siltworks.plans import lake_queries  # noqa: F401, registers its queries
 from siltworks.plans.catalog import ORACLES, QUERIES
 
 

@@ -4,6 +4,7 @@ import struct
 from pyspark.sql import functions as F
 
 from siltworks.functions import media, text, urls, values
+from siltworks.operators import gates
 
 
 def one(spark, **cols):
@@ -50,6 +51,8 @@ def test_urls(spark):
     u = F.lit("https://Img.Example.com/a/square.JPG?w=10&h=20")
     dims = urls.query_dims(u)
     assert one(spark, a=urls.host(u), b=urls.extension(u), c=dims["w"], d=dims["h"], e=urls.host_in(u, ["example.com"]), f=urls.host_in(u, ["ample.com"]), g=urls.mime_by_extension(F.lit(None), u)) == ("img.example.com", "jpg", 10, 20, True, False, "image/jpeg")
+    sample = '{"u":"https://z.com/x.jpg","v":["https://b.com/y.TIFF?q=1","http://c.com/y.png","https://b.com/w.bmp"],"w":"https://d.com/page"}'
+    assert one(spark, a=urls.media_hosts(F.lit(sample)))[0] == ["b.com", "z.com"]
     assert one(spark, a=urls.media_hosts(F.lit('{"u":"https://a.com/x.jpg","v":"https://b.com/y.png"}')), b=urls.robots_allow(F.lit("/x/y"), col(["/x"])))[0] == ["a.com", "b.com"]
 
 
@@ -93,3 +96,19 @@ def test_models(spark):
 
     assert media.call_model(rows, "p", fails).where("reply IS NULL").count() == 10
     assert [len(r["embedding"]) for r in media.embed(rows, "p", lambda b: [[1.0, 2.0]] * len(b), 2).collect()] == [2] * 10
+
+
+def test_tags_and_retries(spark):
+    tags = ["abc", "a.b!?", "a-b", "a(b)", "re:zero", "it's", "a+b", "ab", "123"]
+    assert one(spark, **{f"t{i}": text.is_tag(F.lit(t)) for i, t in enumerate(tags)}) == (True, True, True, True, True, False, False, False, False)
+    assert one(spark, **{f"n{n}": values.backoff(F.lit(n)) for n in (1, 2, 3, 9)}) == (5.0, 10.0, 20.0, 120.0)
+    codes = [200, 304, 399, 400, 404, 408, 425, 429, 500, 503, None]
+    want = ("ok", "ok", "ok", "deterministic", "deterministic", "deterministic", "deterministic", "transient", "transient", "transient", "transient")
+    assert one(spark, **{f"c{i}": gates.status_class(F.lit(c).cast("int")) for i, c in enumerate(codes)}) == want
+
+
+def test_signature(spark):
+    import hashlib
+
+    got = one(spark, a=values.signature({"b": F.lit("x y"), "a": F.lit(1)}, "k"))[0]
+    assert got == hashlib.md5(b"a=1&b=x+yk").hexdigest()

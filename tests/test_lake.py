@@ -66,6 +66,14 @@ def test_upsert_merges_and_append_skips(spark, tmp_path):
     assert got == {"a": "one", "b": "one", "c": "two", "d": "three"}
     sinks.append_unseen(table, new(("d", "four", ["w"], {})))
     assert table.read().count() == 4
+    sets = lambda: {p.name: {f.name for f in p.iterdir()} for p in (tmp_path / "t").glob("data-*")}
+    before = sets()
+    sinks.append_unseen(table, new(("e", "five", ["w"], {}), (None, "five", None, None)))
+    after = sets()
+    assert before.items() < after.items()  # nothing written again
+    assert table.read().count() == 5
+    table.vacuum(1)
+    assert table.read().count() == 5 and len(sets()) < len(after)
 
 
 def test_blobs_and_table(spark, tmp_path):
@@ -82,6 +90,14 @@ def test_rewrite_keeps_bad_lines(spark, tmp_path):
     p = lines(tmp_path / "m.jsonl", [{"a": 1}, {"a": 2}], "bad line\n")
     sinks.rewrite_lines(spark, p, f"file://{tmp_path}/out", F.lit('{"a": 9}'), F.get_json_object("value", "$.a") == "2")
     assert [r[0] for r in spark.read.text(f"file://{tmp_path}/out").collect()] == ['{"a": 1}', '{"a": 9}', "bad line"]
+    many = tmp_path / "many"
+    many.mkdir()
+    for k in (2, 0, 1):
+        lines(many / f"{k}.jsonl", [{"a": 1000 * k + i} for i in range(50)], "torn {\n")
+    sinks.rewrite_lines(spark, f"file://{many}", f"file://{tmp_path}/all", F.lit("{}"), F.get_json_object("value", "$.a") == "1007")
+    got = "".join(p.read_text() for p in sorted((tmp_path / "all").glob("part-*")))
+    want = "".join((many / f"{k}.jsonl").read_text() for k in range(3))
+    assert got == want.replace('{"a": 1007}', "{}")
 
 
 def test_gates_in_order(spark):
@@ -125,6 +141,10 @@ def test_connectors(spark):
     assert {(r["content_url"], r["license_raw"]) for r in connectors.observations(reply(nature)).collect()} == {("https://p/1/original.jpg", "cc-by"), ("https://p/2/original.jpg", "cc0")}
     board = [{"id": 1, "rating": "g", "file_url": "https://f/1.png"}, {"id": 2, "rating": "e", "file_url": "https://f/2.png"}, {"id": 3, "rating": "s", "file_url": "http://f/3.png"}]
     assert [r["asset_id"] for r in connectors.posts(reply(board)).collect()] == ["1"]
+    ratings = [{"id": i, "rating": r, "file_url": "https://f/1.png"} for i, r in enumerate(["g", "s", "general", "safe", "sensitive", "q"])]
+    for board, want in (("danbooru", {"0"}), ("gelbooru", {"2", "3"})):
+        got = connectors.posts(reply(ratings).withColumn("source", F.lit(board)))
+        assert {r["asset_id"] for r in got.collect()} == want
     found = {"data": [{"hoverURL": "", "middleURL": "http://m/x.jpg?w=10&h=20", "width": 0}, {"objURL": "https://o/y.jpg", "width": 3, "height": 4}, {"objURL": "https://o/y.jpg"}, {}]}
     assert {(r["content_url"], r["declared_width"]) for r in connectors.image_results(reply(found)).collect()} == {("https://m/x.jpg?w=10&h=20", 10), ("https://o/y.jpg", 3)}
     jobs = spark.createDataFrame([("i", "red dog"), ("j", "cat")], "instance string, query string")
@@ -186,11 +206,11 @@ def test_queue(spark):
 def test_bulk(spark):
     e = spark.createDataFrame([("Big Dog", ["big dog"], ["hound"], None, None), ("红", None, ["red_one"], None, None)], ENTITY)
     p = lambda i, score, tags, pix, **kw: {"id": i, "rating": "g", "score": score, "file_ext": "png", "image_width": 900, "image_height": 900, "tag_string": tags, "tag_string_character": kw.get("c"), "media_asset": {"pixel_hash": pix}, "is_deleted": False, "is_flagged": False, "is_pending": False}
-    posts = spark.createDataFrame([p(1, 50, "hound big_dog", "A", c="x hound"), p(2, 40, "hound", "A", c="hound"), p(3, 30, "hound", "B"), p(4, 20, "hound", "C"), p(5, 5, "hound", "D"), p(6, 60, "sketch red_one", "E"), p(7, 15, "red_one", None)], POST)
+    posts = spark.createDataFrame([p(1, 50, "hound big_dog", "A", c="x hound"), p(2, 40, "hound", "A", c="hound"), p(3, 30, "hound", "B"), p(4, 20, "hound", "C"), p(5, 5, "hound", "D"), p(6, 60, "lowres red_one", "E"), p(8, 49, "red_one", "A"), p(9, 14, "sketch red_one", "F"), p(7, 15, "red_one", None)], POST)
     index = bulk.tag_index(e)
     assert {r["tag"] for r in index.collect()} == {"big_dog", "hound", "red_one"}
     got = {(r["instance"], r["id"], r["matched_tag"]) for r in bulk.by_instance(posts, index, 3).collect()}
-    assert got == {("Big Dog", 1, "big_dog"), ("Big Dog", 3, "hound"), ("红", 7, "red_one")}
+    assert got == {("Big Dog", 1, "big_dog"), ("Big Dog", 3, "hound"), ("红", 7, "red_one"), ("红", 9, "red_one")}  # 8 has the pixels of 1
     assert {(r["character"], r["id"]) for r in bulk.representatives(posts, index).collect()} == {("hound", 1)}
 
 
@@ -234,3 +254,27 @@ def test_stratified_and_batches(spark):
 def test_coverage_modes_reject_unknown(spark):
     with pytest.raises(ValueError):
         coverage.classify(spark.range(1), spark.range(1), "other", 1)
+
+
+def test_structure_and_containers(spark):
+    rows = spark.createDataFrame([(1, 1, "https://x/a.TIFF?y", None), (1, None, "https://x/a", "image/x"), (3, 4, "https://x/a.html", None)], "width int, height int, content_url string, mime string")
+    r = gates.structure(rows).first()
+    assert (r["n"], round(r["with_size"], 3), round(r["with_image_url"], 3), r["passes"]) == (3, 0.667, 0.667, True)
+    shapes = {'{"data": [1], "results": [2]}': "$.results", '{"docs": []}': "$.docs", "[]": "$", '{"data": {"hits": [1]}, "items": [2]}': "$.data.hits", '{"list": [1]}': None, '{"results": {"x": 1}, "posts": [3]}': "$.posts"}
+    got = {r[0]: r[1] for r in spark.createDataFrame([(s,) for s in shapes], "d string").select("d", spec.container(F.col("d"))).collect()}
+    assert got == shapes
+
+
+def test_flushes_and_pauses(spark):
+    rows = [("a", i, float(t)) for i, t in enumerate([0, 1, 2, 70, 71, 140, 141, 142, 143])] + [("b", i, float(i)) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, i int, t double")
+    got = {(r["k"], r["i"]): r["flush"] for r in ranking.in_flushes(df, ["k"], ["i"], "t", 3, 60).collect()}
+    assert [got["a", i] for i in range(9)] == [0, 0, 0, 1, 1, 2, 2, 2, 3]
+    assert [got["b", i] for i in range(7)] == [0, 0, 0, 1, 1, 1, 2]
+    levels = spark.createDataFrame([(0, i, v) for i, v in enumerate([100, 1999, 2000, 1500, 501, 500, 1999, 2500])], "g int, i int, v int")
+    assert [r["paused"] for r in ranking.hysteresis(levels, ["g"], ["i"], "v").orderBy("i").collect()] == [False, False, True, True, True, False, False, True]
+
+
+def test_lowest_scores(spark):
+    df = spark.createDataFrame([("a", 3), ("b", None), ("c", 1), ("d", 1)], "k string, v int")
+    assert [r["k"] for r in reports.lowest(df, "v", "k", 2).collect()] == ["c", "d"]

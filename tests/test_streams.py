@@ -74,3 +74,21 @@ def test_missing_work(spark):
     counts = spark.createDataFrame([("a", 9)], "name string, have long")
     queue = spark.createDataFrame([("b", "pending"), ("d", "done")], "instance string, status string")
     assert [(r["name"], r["wave"]) for r in jobs.missing_work(entities, counts, queue, 4, 2).collect()] == [("d", 2)]
+
+
+def test_waves_refill_and_climb():
+    made, left = [], [3]
+
+    def generate(n):
+        made.append(n)
+        return 0 if n == 4 else 5
+
+    def drained():
+        left[0] -= 1
+        return left[0] <= 0
+
+    assert jobs.waves(generate, drained, lambda: None) == 4 and made == [1, 2, 3, 4]
+    work = iter([2, 0, 0, 5, *[0] * 6, 9])
+    assert jobs.refill(lambda: next(work), lambda: None) == 7
+    climb = jobs.Climb(8, 4, 2, 16)
+    assert [climb.window(x) for x in (1.0, 2.0, 1.5, 3.0, 4.0, 5.0, 1.0)] == [12, 16, 12, 8, 4, 2, 6]

@@ -32,10 +32,11 @@ def test_queue_rules():
     assert now == ("claimed", 0, 0.0, 10.0)
     assert step(now, "result", True, 11.0)[:2] == ("done", 1)
     now = step(now, "result", False, 11.0)
-    assert now[:3] == ("pending", 1, 12.0)
-    assert step(now, "claim", None, 11.5)[0] == "pending"  # waits
-    now = step(step(now, "claim", None, 12.0), "result", False, 13.0)
-    now = step(step(now, "claim", None, 20.0), "result", False, 21.0)
+    assert now[:3] == ("pending", 1, 16.0)  # five seconds, then ten
+    assert step(now, "claim", None, 15.5)[0] == "pending"  # waits
+    now = step(step(now, "claim", None, 16.0), "result", False, 17.0)
+    assert now[:3] == ("pending", 2, 27.0)
+    now = step(step(now, "claim", None, 27.0), "result", False, 28.0)
     assert now[:2] == ("skipped", 3)
     assert step(("claimed", 1, 0.0, 0.0), "claim", None, 700.0)[0] == "claimed"  # taken back, claimed anew
 

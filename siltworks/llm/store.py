@@ -1,47 +1,22 @@
 """Intermediate tables in the folder that the whole cluster shares.
 
-A table written here cuts lineage and outlives the executors that made it.
-The folder is the one named by ``spark.checkpoint.dir``.  Where that is unset,
-a local session gets a folder of its own, deleted at exit, and any other
-session uses its warehouse.
-
-A query returns a frame that reads such tables, so they stay until the caller
-has used it and says :func:`clear`.
+A table written here cuts lineage and outlives the executors that made it.  A
+query returns a frame that reads such tables, so they stay until the caller has
+used it and says :func:`clear`.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
+from ..sources.scratch import folder as new_path
+
 #: Tables made by this process.
 _made: list[str] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables of this session."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if master == "local" or master.startswith("local["):
-        if "dir" not in _own:
-            _own["dir"] = tempfile.mkdtemp(prefix="siltworks-")
-            atexit.register(shutil.rmtree, _own["dir"], ignore_errors=True)
-        return "file://" + _own["dir"]
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/siltworks-{name}-{uuid.uuid4().hex}"
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     sc = spark.sparkContext
     folder = sc._jvm.org.apache.hadoop.fs.Path(path)

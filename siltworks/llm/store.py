@@ -11,12 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.scratch import folder as new_path
+from ..sources.scratch import folder
 
-#: Tables made by this process.
+#: Folders taken by this process and not deleted.
 _made: list[str] = []
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder that nothing is in yet, which :func:`clear` deletes."""
+    _made.append(folder(spark, name))
+    return _made[-1]
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     sc = spark.sparkContext
     folder = sc._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,7 +35,6 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    _made.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._siltworks_path = path
     return out

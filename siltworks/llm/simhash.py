@@ -233,15 +233,17 @@ def pick(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) -> Dat
     are each judged by their own.  Of rows that repeat both one stays.  Rows
     without an id can't be named as a group's document, so they all stay.  What
     is joined to the texts are the rows that go, and the few that come twice.
+    The rows that go grow with the corpus, so that join is never a broadcast.
     """
     own = cut(grouped.where("id IS NOT NULL").groupBy("id", "key").agg(F.min("root").alias("root"), F.count("*").alias("n")), "rows")
     stay = cut(own.groupBy("root").agg(F.min(F.struct("id", "key")).alias("own")).select("own.*", F.lit(True).alias("stays")), "stay")
     marks = own.join(stay, ["id", "key"], "left").where("stays IS NULL OR n > 1")
     marks = cut(marks.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("stays").alias("_stays")), "marks")
+    twice = cut(marks.where("_stays").select("_id", "_key"), "twice")  # a table of its own, so that Spark knows how small it is
     discard(own), discard(stay), discard(grouped)
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_key"))
-    single = rows.join(marks, ["_id", "_key"], "left_anti")  # rows without an id among them
-    repeated = rows.join(marks.where("_stays"), ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    single = rows.join(marks.select("_id", "_key").hint("merge"), ["_id", "_key"], "left_anti")  # rows without an id among them
+    repeated = rows.join(twice, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
     return single.select("_row.*").union(repeated.select("_row.*"))
 
 

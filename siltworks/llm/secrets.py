@@ -9,8 +9,8 @@ are per blob, are kept with the triples, and join back to all paths.
 All of it is DataFrame operations.  Offsets come from splitting a text at a
 rule's matches: a running sum over the lengths of pieces and matches, in a
 window over one blob and rule.  Findings are written before they are joined
-back, so that Spark can split the paths of a blob that many share, or send the
-findings to all tasks where their files are small.
+back, so that Spark can split the paths of a blob that many share; they grow
+with the corpus, so they are never a broadcast.
 """
 
 from __future__ import annotations
@@ -133,7 +133,7 @@ def _rows_with_findings(docs: DataFrame, rules: tuple[Rule, ...], ledger: Ledger
     """``(_row, n_<rule>, found)``: rows as structs, so that no name of theirs can clash, with their blobs' findings."""
     ledger = ledger or Ledger(docs.sparkSession)
     found = cut(ledger.scan(docs, rules, text_col), "findings")
-    rows = docs.select(F.struct("*").alias("_row"), _blob(text_col).alias("blob")).join(found, "blob", "left")
+    rows = docs.select(F.struct("*").alias("_row"), _blob(text_col).alias("blob")).join(found.hint("merge"), "blob", "left")
     none = F.array().cast(found.schema["found"].dataType)
     return rows.select("_row", *(F.coalesce(f"n_{r.name}", F.lit(0).cast("long")).alias(f"n_{r.name}") for r in rules), F.coalesce("found", none).alias("found"))
 

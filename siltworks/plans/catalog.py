@@ -369,7 +369,12 @@ def stratified_sample(s, d):
     return ranking.stratified(read(s, d, "documents"), "doc_id", "n_chars", [(10, 1000, 0.5), (1000, 5000, 0.35), (5000, 10**9, 0.15)], 200).select("doc_id", "stratum", "n_chars")
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT 'n' || c_nationkey AS parent, c_name AS name FROM customer), g AS (SELECT parent, count(*) AS n FROM r GROUP BY 1),
+s AS (SELECT parent, n, row_number() OVER (ORDER BY parent) AS k FROM g WHERE n <= 40),
+f AS (SELECT parent, k, 0 AS number, n AS held FROM s WHERE k = 1 UNION ALL
+SELECT s.parent, s.k, CASE WHEN f.held + s.n > 80 THEN f.number + 1 ELSE f.number END, CASE WHEN f.held + s.n > 80 THEN s.n ELSE f.held + s.n END FROM f JOIN s ON s.k = f.k + 1),
+p AS (SELECT parent, row_number() OVER (PARTITION BY parent ORDER BY name) - 1 AS place FROM r)
+SELECT coalesce('small-' || f.number, p.parent || '-' || (place // 80)) AS batch, count(*) AS n, count(DISTINCT p.parent) AS parents FROM p LEFT JOIN f USING (parent) GROUP BY 1""")
 def audit_batches(s, d):
     rows = read(s, d, "customer").select(F.concat(F.lit("n"), F.col("c_nationkey")).alias("parent"), F.col("c_name").alias("name"))
     return ranking.batches(rows, "parent", "name", 80).groupBy("batch").agg(F.count("*").alias("n"), F.countDistinct("parent").alias("parents"))
@@ -397,8 +402,9 @@ def html_links(s, d):
     return read(s, d, "pages").select("page_id", urls.links("html").alias("l")).select("page_id", F.size("l").cast("bigint").alias("n"), joined("l").alias("links"))
 
 
-@query()
+@query("SELECT page_id, 'https://pic.example.com/' || page_id || '.jpg|https://b.com/1.webp|https://b.com/2.webp' AS images FROM pages")
 def html_images(s, d):
+    """The pages have no images of their own, so each gets some ahead of its text."""
     page = F.concat(F.lit('<img class="a" data-src="http://pic.example.com/'), F.col("page_id"), F.lit('.jpg" src="/x.png"><img src="https://e.com/icon.png"><source srcset="https://b.com/1.webp 1x, https://b.com/2.webp 2x">'), F.col("html"))
     return read(s, d, "pages").select("page_id", joined(urls.images(page, upgrade=True)).alias("images"))
 

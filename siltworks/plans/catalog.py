@@ -606,7 +606,7 @@ def status_dashboard(s, d):
 @query("SELECT p_partkey, p_name FROM part WHERE contains(p_name, '77') OR p_brand = 'Brand#11' ORDER BY p_name LIMIT 20")
 def entity_search(s, d):
     rows = read(s, d, "part").select("p_partkey", F.col("p_name").alias("name"), F.lit(None).cast("string").alias("desc"), F.when(F.col("p_brand") == "Brand#11", F.array(F.lit("77"))).alias("aliases"))
-    return reports.searched(rows, "77").select("p_partkey", F.col("name").alias("p_name"))
+    return reports.searched(rows, "77", "p_partkey").select("p_partkey", F.col("name").alias("p_name"))
 
 
 @query("SELECT name, alias FROM (SELECT p_name AS name, unnest(string_split(p_type, ' ')) AS alias FROM part) WHERE alias ILIKE '%st%'")

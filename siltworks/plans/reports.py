@@ -97,10 +97,10 @@ def by_branch(tree: DataFrame, path: str = "path") -> DataFrame:
     return tree.groupBy(F.split_part(F.col(path), F.lit("/"), F.lit(2)).alias("branch")).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "branch")
 
 
-def searched(entities: DataFrame, word: str, limit: int = 20) -> DataFrame:
-    """Entities whose name or description holds a word, or that have it as an alias."""
+def searched(entities: DataFrame, word: str, key: str, limit: int = 20) -> DataFrame:
+    """Entities whose name or description holds a word, or that have it as an alias; the first by name, null ones last, ties by key."""
     hit = F.col("name").contains(word) | F.coalesce(F.col("desc").contains(word), F.lit(False)) | F.coalesce(F.array_contains("aliases", word), F.lit(False))
-    return entities.where(hit).orderBy("name").limit(limit)
+    return entities.where(hit).orderBy(F.col("name").asc_nulls_last(), key).limit(limit)
 
 
 def alias_like(entities: DataFrame, pattern: str) -> DataFrame:

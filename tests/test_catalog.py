@@ -39,3 +39,14 @@ def test_matches_sql(spark, sf, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
+
+
+def test_entity_search_with_ties_and_null_names(spark, tmp_path):
+    rows = [(i, None if i % 7 == 0 else f"n{i % 5}", "Brand#11" if i % 2 else "Brand#2") for i in range(60)]
+    for kept in (rows, [r for r in rows if r[1] is None or r[1] < "n2"]):  # the limit cuts a group of ties; then null names are among the first 20
+        want = sorted((r for r in kept if r[2] == "Brand#11"), key=lambda r: (r[1] is None, r[1] or "", r[0]))[:20]
+        for parts in (1, 3):
+            d = f"{tmp_path}/{len(kept)}_{parts}"
+            spark.createDataFrame(kept[::-1], "p_partkey long, p_name string, p_brand string").repartition(parts).write.parquet(f"{d}/part.parquet")
+            got = [tuple(r) for r in QUERIES["entity_search"](spark, d).collect()]
+            assert got == [r[:2] for r in want]

@@ -1,10 +1,12 @@
 """The near-duplicates stage against exact Jaccard similarities of whole texts."""
 
+import math
 import random
 
 import pytest
 
 import corpus_pipeline
+from siltworks.llm import copies, graph
 
 
 def shingles(text):
@@ -66,3 +68,41 @@ def test_large_group_of_copies_and_near_misses(spark, sf):
                 root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
     assert 2 < len(set(root)) < 150
     assert kept(spark, sf, texts) == set(root)
+
+
+def test_pairs_without_a_common_signature_are_found(spark, sf):
+    texts = []
+    for seed in (15187, 568099, 796383, 899328):  # four of five shingles in common, but no four least values of 24 times four orders
+        words = [f"w{seed}x{i}" for i in range(9)]
+        texts += [" ".join(words), " ".join(words[:8])]
+        assert similarity(*texts[-2:]) == 0.8
+    assert kept(spark, sf, texts) == {0, 2, 4, 6}
+
+
+@pytest.mark.parametrize("tiles", [1, 2, 64])
+def test_all_pairs_of_tiles_are_compared(spark, tiles):
+    rng = random.Random(tiles)
+    rows = []
+    while len(rows) < 900:
+        own = [rng.getrandbits(64) for _ in range(4)]
+        for _ in range(rng.choice((1, 1, 1, 2, 5))):
+            size = rng.choice((50, 60, 75, 300))
+            other = list(own)
+            for _ in range(rng.randrange(60, 100)):
+                other[rng.randrange(4)] ^= 1 << rng.randrange(64)
+            rows.append((len(rows), size, *other))
+    signed = [(i, n, *(x - (x >> 63 << 64) for x in u)) for i, n, *u in rows]
+    links = copies.near_links(spark.createDataFrame(signed, "node long, size int, u0 long, u1 long, u2 long, u3 long"), tiles=tiles)
+    found = {r["node"]: r["root"] for r in graph.components(links).collect()}
+    root, level = list(range(len(rows))), [int(math.log(n) / -math.log(0.8) + 1e-9) for _, n, *_ in rows]
+    for i, _, *x in rows:
+        for j, _, *y in rows[:i]:
+            if abs(level[i] - level[j]) <= 1 and sum((p ^ q).bit_count() for p, q in zip(x, y, strict=True)) <= 80 and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    cold = len(set(root))
+    assert 400 < cold < 900
+    if tiles > 1:  # one tile has no levels
+        assert [found.get(i, i) for i in range(len(rows))] == root
+    else:
+        assert len({found.get(i, i) for i in range(len(rows))}) <= cold
